@@ -124,7 +124,7 @@ def _sql_broken():
     for name, low, open_low, high, _ in applications.FIELDS:
         bad = f"{name} IS NULL OR {name} {'<=' if open_low else '<'} {low}" + (f" OR {name} > {high}" if high else "")
         marks.append(f"CASE WHEN {bad} THEN '{name}' END")
-    return "LIST_FILTER([" + ", ".join(marks) + "], x -> x IS NOT NULL)"
+    return "LIST_FILTER([" + ", ".join(marks) + "], lambda x: x IS NOT NULL)"
 
 
 _loans = LOANS_SQL.format(**{t: t for t in TABLES})

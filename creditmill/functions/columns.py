@@ -47,5 +47,21 @@ def ordered_hash(key, seed, digits: int = 15) -> Column:
     return F.conv(F.substring(text, 1, digits), 16, 10).cast("long")
 
 
+def round_exact(c, digits: int) -> Column:
+    """A non-negative number at `digits` decimals, rounded by its exact binary value, ties to even.
+
+    Rounding only the fraction keeps the digits that tell a true tie from a number just beside one.
+    """
+    c = as_col(c).cast("double")
+    if digits == 0:
+        return F.bround(c, 0)
+    whole = F.floor(c).cast("double")
+    return whole + F.bround(c - whole, digits)
+
+
+def fixed_text(c, digits: int) -> Column:
+    return F.format_string(f"%.{digits}f", round_exact(c, digits))
+
+
 def any_of(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))

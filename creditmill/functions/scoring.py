@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from creditmill import schema as S
-from creditmill.functions.columns import as_col, clamp
+from creditmill.functions.columns import as_col, clamp, fixed_text
 
 # Decision texts by tier and by default probability.
 TIER_DECISIONS = {
@@ -55,6 +55,6 @@ def decision_by_pd(pd_value) -> Column:
 def expected_loss_text(pd_value, exposure, loss, lgd: float = S.LGD) -> Column:
     """PD(x%) x EAD($n) x LGD(45%) = $n"""
     return F.concat(
-        F.lit("PD("), F.format_string("%.2f", as_col(pd_value) * 100),
+        F.lit("PD("), fixed_text(as_col(pd_value) * 100, 2),
         F.lit("%) x EAD($"), F.format_number(as_col(exposure), 0),
         F.lit(f") x LGD({lgd:.0%}) = $"), F.format_number(as_col(loss), 0))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from creditmill import schema as S
 from creditmill.functions import rules, scoring
-from creditmill.functions.columns import clamp
+from creditmill.functions.columns import clamp, round_exact
 
 PD = "predicted_pd"
 HISTOGRAM_BINS = 50
@@ -24,12 +24,12 @@ def risk_profile(df: DataFrame, pd_col: str = PD, keep=(S.KEY,)) -> DataFrame:
     score = scoring.pd_to_credit_score(pd_col)
     return df.select(
         *[c for c in keep if c in df.columns],
-        F.round(F.col(pd_col) * 100, 2).alias("probability_of_default"),
+        round_exact(F.col(pd_col) * 100, 2).alias("probability_of_default"),
         score.alias("credit_score"), scoring.assign_risk_tier(score).alias("risk_tier"),
-        F.round(scoring.expected_loss(pd_col, "loan_amnt"), 2).alias("expected_loss"),
+        round_exact(scoring.expected_loss(pd_col, "loan_amnt"), 2).alias("expected_loss"),
         F.col("loan_amnt").alias("loan_amount"), F.col("annual_inc").alias("annual_income"), "dti",
         F.col("int_rate").alias("interest_rate"),
-        F.round(F.col("loan_amnt") / clamp("annual_inc", 1, float("inf")) * 100, 2).alias("loan_to_income"))
+        round_exact(F.col("loan_amnt") / clamp("annual_inc", 1, float("inf")) * 100, 2).alias("loan_to_income"))
 
 
 def tier_summary(scored: DataFrame, pd_col: str = PD) -> DataFrame:
