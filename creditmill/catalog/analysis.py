@@ -24,6 +24,10 @@ def _over_loans(operator):
     return lambda spark, sf_dir: rounded(operator(clean_loans(spark, sf_dir)))
 
 
+def _over_stored(operator):
+    return lambda spark, sf_dir: rounded(operator(model_loans(spark, sf_dir)))
+
+
 def _over_scored(operator):
     return lambda spark, sf_dir: rounded(operator(scored_loans(spark, sf_dir)))
 
@@ -102,13 +106,13 @@ QUERIES = {
     "null_profile": lambda spark, sf_dir: rounded(eda.null_profile(model_loans(spark, sf_dir))),
     "null_pattern_sample": null_pattern_sample,
     "class_histograms": _over_loans(eda.class_histograms),
-    "box_stats": _over_loans(eda.box_stats),
+    "box_stats": _over_stored(eda.box_stats),
     "rate_by_category": _over_loans(eda.rate_by_category),
     "rate_by_bracket": _over_loans(eda.rate_by_bracket),
     "rate_by_emp_length": _over_loans(eda.rate_by_emp_length),
     "rate_by_sub_grade": _over_loans(eda.rate_by_sub_grade),
-    "pearson_matrix": _over_loans(eda.pearson_matrix),
-    "spearman_matrix": _over_loans(eda.spearman_matrix),
+    "pearson_matrix": _over_stored(eda.pearson_matrix),
+    "spearman_matrix": _over_stored(eda.spearman_matrix),
     "top_target_correlations": _over_loans(eda.top_target_correlations),
     "check_not_empty": _over_loans(validation.check_not_empty),
     "check_duplicates": check_duplicates,
@@ -198,6 +202,7 @@ _gain = """SELECT p AS threshold, seen/all_n*100 AS pct_population, tp/all_pos*1
   (tp/all_pos)/(seen/all_n) AS lift, CAST(CEIL(seen*10/all_n) AS INT) AS decile FROM steps"""
 
 _few, _large = drift.FEW_VALUES, drift.LARGE_REFERENCE
+_ks_series = "+".join(f"{2.0 * (-1) ** (k - 1)}E0*EXP({-2.0 * k * k}E0*x*x)" for k in range(1, 21))
 _halves_long = " UNION ALL ".join(
     f"SELECT '{c}' AS col, {c} AS v, CASE WHEN issue_d < TIMESTAMP '{DRIFT_DATE}' THEN 1 ELSE 0 END AS is_ref "
     f"FROM clean WHERE {c} IS NOT NULL" for c in S.NUMERICAL)
@@ -212,11 +217,16 @@ found AS (SELECT col, CAST(MAX(n_ref) AS BIGINT) AS n_reference, CAST(MAX(n_cur)
   SUM((CASE WHEN p>0 THEN p*LOG2(p/((p+q)/2)) ELSE 0 END + CASE WHEN q>0 THEN q*LOG2(q/((p+q)/2)) ELSE 0 END)/2) AS js
   FROM cdf GROUP BY col),
 dev AS (SELECT col, STDDEV_POP(v) AS s FROM long WHERE is_ref=1 GROUP BY col),
-tested AS (SELECT found.*, CASE WHEN n_values<={_few} THEN 'jensen_shannon' ELSE 'wasserstein' END AS test,
-  CASE WHEN n_values<={_few} THEN SQRT(GREATEST(js,0)) ELSE w1/GREATEST(s,0.001) END AS statistic
-  FROM found JOIN dev ON found.col=dev.col WHERE n_reference>{_large})"""
+sized AS (SELECT *, SQRT(n_reference*n_current/(n_reference+n_current))*ks AS x FROM found),
+tested AS (SELECT sized.*, CASE WHEN n_reference<={_large} THEN 'kolmogorov_smirnov'
+    WHEN n_values<={_few} THEN 'jensen_shannon' ELSE 'wasserstein' END AS test,
+  CASE WHEN n_reference<={_large} THEN (CASE WHEN x<0.2 THEN 1.0E0 ELSE LEAST(GREATEST({_ks_series},0.0E0),1.0E0) END)
+    WHEN n_values<={_few} THEN SQRT(GREATEST(js,0)) ELSE w1/GREATEST(s,0.001) END AS statistic
+  FROM sized JOIN dev ON sized.col=dev.col),
+judged AS (SELECT *, CASE WHEN test='kolmogorov_smirnov' THEN statistic<0.05 ELSE statistic>=0.1 END AS drifted
+  FROM tested)"""
 _drift_rows = """SELECT col AS "column", n_reference, n_current, n_values, ROUND(w1,6) AS w1, ROUND(ks,6) AS ks, test,
-  ROUND(statistic,6) AS statistic, statistic>=0.1 AS drifted FROM tested"""
+  ROUND(statistic,6) AS statistic, drifted FROM judged"""
 
 _hist = f"""long AS ({_long(S.NUMERICAL[:eda.HISTOGRAM_COLUMNS])}),
 b AS (SELECT is_default, col, MIN(v) AS lo, MAX(v) AS hi, COUNT(*) AS total FROM long GROUP BY is_default, col),
@@ -376,7 +386,7 @@ ORACLES = {
     "dataset_drift": oracle(
         """SELECT n_columns, n_drifted, ROUND(n_drifted/n_columns,6) AS drifted_share,
            n_drifted/n_columns>=0.5 AS dataset_drifted FROM (SELECT COUNT(*) AS n_columns,
-           CAST(SUM(CASE WHEN statistic>=0.1 THEN 1 ELSE 0 END) AS BIGINT) AS n_drifted FROM tested)""",
+           CAST(SUM(CASE WHEN drifted THEN 1 ELSE 0 END) AS BIGINT) AS n_drifted FROM judged)""",
         "clean", extra=_drift),
 }
 _sampled = "SELECT * FROM clean ORDER BY MD5(CONCAT(CAST(loan_id AS VARCHAR),'|42')), loan_id LIMIT 500"

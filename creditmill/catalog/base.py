@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from creditmill import schema as S
 from creditmill.operators import applications, features
+from creditmill.session import settle
 from creditmill.sources.loans_view import LOANS_SQL, TABLES, clean_loans
 
 TEXT_DATE = "CAST(CAST(issue_d AS DATE) AS VARCHAR) AS issue_d"
@@ -167,9 +168,15 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
+def stored_loans(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Cleaned loans (or some columns) written out once, for operators that read their input repeatedly."""
+    loans = clean_loans(spark, sf_dir)
+    return settle(loans.select(*columns) if columns else loans)
+
+
 def model_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned loans without identifiers, date and fixture PD: what preprocessing sees."""
-    return clean_loans(spark, sf_dir).drop("id", "member_id", "issue_d", "fixture_pd")
+    """Stored loans without identifiers, date and fixture PD: what preprocessing sees."""
+    return stored_loans(spark, sf_dir, S.KEY, *TEXTS, *NUMBERS, S.STATUS, S.TARGET)
 
 
 def feature_loans(spark: SparkSession, sf_dir: str) -> DataFrame:

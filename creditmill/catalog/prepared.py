@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from creditmill import schema as S
-from creditmill.catalog.base import NUMBERS, TEXTS, model_loans, oracle, rounded
+from creditmill.catalog.base import NUMBERS, TEXTS, model_loans, oracle, rounded, stored_loans
 from creditmill.operators import anomalies, neighbors, preprocess, sampling
+from creditmill.session import settle
 from creditmill.sources.loans_view import clean_loans
 
 KEPT = [c for c in NUMBERS if c != "total_rev_hi_lim"]
@@ -14,11 +15,11 @@ SPACE = ["loan_amnt", "annual_inc", "dti", "installment"]
 
 
 def numbers(spark, sf_dir):
-    return clean_loans(spark, sf_dir).select(S.KEY, *KEPT, S.TARGET)
+    return stored_loans(spark, sf_dir, S.KEY, *KEPT, S.TARGET)
 
 
 def texts(spark, sf_dir):
-    return clean_loans(spark, sf_dir).select(S.KEY, *TEXTS, S.TARGET)
+    return stored_loans(spark, sf_dir, S.KEY, *TEXTS, S.TARGET)
 
 
 def sparse_texts(spark, sf_dir):
@@ -36,12 +37,12 @@ def _scale(method):
 
 
 def impute_knn(spark, sf_dir):
-    return rounded(neighbors.impute_knn(clean_loans(spark, sf_dir).select(S.KEY, *GAPPY)))
+    return rounded(neighbors.impute_knn(stored_loans(spark, sf_dir, S.KEY, *GAPPY)))
 
 
 def scaled_points(spark, sf_dir):
-    loans = clean_loans(spark, sf_dir).select(S.KEY, *SPACE, S.TARGET)
-    return preprocess.scale(preprocess.impute_numeric(loans), "robust")
+    loans = stored_loans(spark, sf_dir, S.KEY, *SPACE, S.TARGET)
+    return settle(preprocess.scale(preprocess.impute_numeric(loans), "robust"))
 
 
 def smote_neighbors(spark, sf_dir):
@@ -78,11 +79,11 @@ def preprocess_on_train(spark, sf_dir):
 
 
 def stratified_split(spark, sf_dir):
-    return sampling.stratified_split(clean_loans(spark, sf_dir).select(S.KEY, S.TARGET))
+    return sampling.stratified_split(stored_loans(spark, sf_dir, S.KEY, S.TARGET))
 
 
 def stratified_folds(spark, sf_dir):
-    return sampling.stratified_folds(clean_loans(spark, sf_dir).select(S.KEY, S.TARGET))
+    return sampling.stratified_folds(stored_loans(spark, sf_dir, S.KEY, S.TARGET))
 
 
 def fixed_sample(spark, sf_dir):
@@ -90,11 +91,11 @@ def fixed_sample(spark, sf_dir):
 
 
 def undersample(spark, sf_dir):
-    return sampling.undersample(clean_loans(spark, sf_dir).select(S.KEY, S.TARGET))
+    return sampling.undersample(stored_loans(spark, sf_dir, S.KEY, S.TARGET))
 
 
 def class_weights(spark, sf_dir):
-    loans = clean_loans(spark, sf_dir).select(S.KEY, S.TARGET)
+    loans = stored_loans(spark, sf_dir, S.KEY, S.TARGET)
     table = F.broadcast(sampling.class_weight_table(loans).drop("n", "balanced_weight"))  # one row per class
     return rounded(sampling.class_weights(loans).join(table, S.TARGET))
 
