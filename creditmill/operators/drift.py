@@ -20,7 +20,7 @@ SHARE_LIMIT = 0.5
 
 def _ks_p_value(d, n, m):
     """Two-sided asymptotic p-value of the two-sample Kolmogorov-Smirnov distance."""
-    size = n * m / (n + m)
+    size = n.cast("double") * m / (n + m)
     x = F.sqrt(size) * d
     series = sum((F.lit(2.0 * (-1) ** (k - 1)) * F.exp(-2.0 * k * k * x * x) for k in range(1, 21)), F.lit(0.0))
     return F.when(x < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))

@@ -40,8 +40,8 @@ def mutual_information(df: DataFrame, features: Sequence[str], y: str = S.TARGET
     # features x bins x classes rows from here on
     def total(*by):
         return F.sum("n").over(W.partitionBy(*by))
-    n = total("feature")
-    gain = F.col("n") / n * F.log(F.col("n") * n / (total("feature", "bin") * total("feature", "y")))
+    n = total("feature").cast("double")
+    gain = F.col("n") / n * F.log(F.col("n") * n / (total("feature", "bin").cast("double") * total("feature", "y")))
     scores = cells.withColumn("gain", gain).groupBy("feature").agg(F.sum("gain").alias("score"))
     ordered = scores.orderBy(F.desc("score"), "feature")
     return ordered.limit(top_n) if top_n else ordered

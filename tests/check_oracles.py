@@ -57,7 +57,8 @@ def main(sf_dir, wanted):
 
     from creditmill.catalog import ORACLES, QUERIES
 
-    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+    width = os.environ.get("CHECK_PARTITIONS", "8")
+    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", width)
              .config("spark.driver.memory", "16g").config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
