@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 from creditmill import schema as S
 from creditmill.operators import metrics, neighbors, sampling
 from creditmill.operators.scoring import PD
+from creditmill.session import shared_dir
 from creditmill.sources import files
 
 WEIGHT = "weight"
 FEATURES = "features"
 # Size and depth of each model, and whether it is trained with balanced weights.
 SPECS = {
-    "LogisticRegression": {"weighted": True, "maxIter": 1000},
+    "LogisticRegression": {"weighted": True, "maxIter": 1000, "tol": 1e-4},
     "DecisionTree": {"weighted": True, "maxDepth": 10},
     "NaiveBayes": {"weighted": False},
     "RandomForest": {"weighted": True, "numTrees": 200, "maxDepth": 15},
@@ -42,6 +43,7 @@ SPECS = {
 TUNE_RANGES = {"maxIter": (200, 600), "maxDepth": (3, 10), "stepSize": (0.01, 0.3), "subsamplingRate": (0.6, 1.0),
                "featureSubsetStrategy": (0.6, 1.0), "minInstancesPerNode": (1, 10), "maxBins": (32, 255)}
 TUNE_ROWS = 80_000
+TREE_MEMORY_MB = 1024
 _OUT = ("rawPrediction", "probability", "prediction", FEATURES)
 
 
@@ -53,6 +55,8 @@ def _estimator(name: str, label: str, weighted: bool, seed: int, params: Mapping
         return LogisticRegression(**common, standardization=False, **params)
     if name == "NaiveBayes":
         return NaiveBayes(**common, modelType="gaussian", **params)
+    # room for the split statistics of a whole tree level, so that a level takes one pass
+    params = {"maxMemoryInMB": TREE_MEMORY_MB, **params}
     kind = {"DecisionTree": DecisionTreeClassifier, "RandomForest": RandomForestClassifier}.get(name, GBTClassifier)
     return kind(**common, seed=seed, **params)
 
@@ -71,6 +75,7 @@ def train(name: str, train_df: DataFrame, features: Sequence[str], label: str =
         # an L2 penalty of strength 1 on the summed loss, restated for a mean loss
         total = frame.agg((F.sum(WEIGHT) if weighted else F.count("*")).alias("w")).first()["w"]
         spec["regParam"] = 1.0 / float(total)
+    shared_dir(train_df.sparkSession)  # boosting checkpoints its residuals there
     assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
     return Pipeline(stages=[assembler, _estimator(name, label, weighted, seed, spec)]).fit(frame)
 
@@ -185,7 +190,9 @@ def tune_gbt(train_df: DataFrame, features: Sequence[str], n_trials: int = 50, s
         return None
     frame = sampling.class_weights(train_df.select(*features, label), label)
     frame = frame.withColumn(label, F.col(label).cast("double")).persist()
-    gbt = GBTClassifier(labelCol=label, featuresCol=FEATURES, weightCol=WEIGHT, seed=seed)
+    shared_dir(train_df.sparkSession)
+    gbt = GBTClassifier(labelCol=label, featuresCol=FEATURES, weightCol=WEIGHT, seed=seed,
+                        maxMemoryInMB=TREE_MEMORY_MB)
     trials = draw_params(n_trials, seed, {**TUNE_RANGES, **(ranges or {})})
     maps = [{gbt.getParam(k): v for k, v in t.items()} for t in trials]
     pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=FEATURES), gbt])
