@@ -7,7 +7,7 @@ tables are always read whole.
 from pyspark.sql import functions as F
 
 from creditmill import schema as S
-from creditmill.catalog.base import applications_of, feature_loans, oracle, rounded
+from creditmill.catalog.base import applications_of, feature_loans, oracle, rounded, stored_loans
 from creditmill.operators import explain, metrics, models
 from creditmill.plans import prediction, training
 from creditmill.session import scratch_path, settle
@@ -118,11 +118,11 @@ def score_stream(spark, sf_dir):
 
 
 def mutual_information(spark, sf_dir):
-    return rounded(explain.mutual_information(clean_loans(spark, sf_dir), S.NUMERICAL))
+    return rounded(explain.mutual_information(stored_loans(spark, sf_dir, S.TARGET, *S.NUMERICAL), S.NUMERICAL))
 
 
 def select_features(spark, sf_dir):
-    return rounded(explain.select_features(clean_loans(spark, sf_dir), S.NUMERICAL, top_n=10))
+    return rounded(explain.select_features(stored_loans(spark, sf_dir, S.TARGET, *S.NUMERICAL), S.NUMERICAL, top_n=10))
 
 
 def permutation_importance(spark, sf_dir):

@@ -29,14 +29,12 @@ def mutual_information(df: DataFrame, features: Sequence[str], y: str = S.TARGET
     """(feature, score): information in nats between the target and a feature cut at its quantiles; NULL is 0."""
     filled = df.select(y, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     long = ranks.long_values(filled, features, [y])
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
-    probs = [i / bins for i in range(1, bins)]
-    edges = ranks.quantiles_of_counts(counts, probs, ["column"]).select(
-        "column", F.array(*[f"q{i}" for i in range(len(probs))]).alias("edges"))
+    found = ranks.quantile_map(filled, features, [i / bins for i in range(1, bins)])
+    edges = df.sparkSession.createDataFrame(list(found.items()), "column string, edges array<double>")
     # one row per feature
-    cells = (long.groupBy(y, "column", "value").agg(F.count("*").alias("n")).join(F.broadcast(edges), "column")
+    cells = (long.join(F.broadcast(edges), "column")
              .withColumn("bin", F.size(F.filter("edges", lambda e: F.col("value") > e)))
-             .groupBy(F.col("column").alias("feature"), "bin", F.col(y).alias("y")).agg(F.sum("n").alias("n")))
+             .groupBy(F.col("column").alias("feature"), "bin", F.col(y).alias("y")).agg(F.count("*").alias("n")))
     # features x bins x classes rows from here on
     def total(*by):
         return F.sum("n").over(W.partitionBy(*by))

@@ -5,8 +5,10 @@ about as many ranges as there are shuffle partitions. Range totals are prefix-su
 of (keys x ranges) rows and joined back, and the running window stays inside one range.
 """
 
+from bisect import bisect_right
 from collections.abc import Sequence
-from math import ceil, sqrt
+from itertools import accumulate
+from math import ceil, floor, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -91,38 +93,127 @@ def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     return long_values(df, columns, by).groupBy(*by, "column", "value").agg(F.count("*").alias("n"))
 
 
-def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
-    """One row per key: q0, q1, … with linear interpolation, plus n."""
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequence[str],
+                        blurred: str | None = None) -> DataFrame:
+    """One row per key: q0, q1, … with linear interpolation, plus n.
+
+    `blurred` names a flag of rows that stand for several values; `blurred` in the result says
+    whether such a row was hit.
+    """
     ranked = cumulate(counts, "value", ["n"], keys)
     aggs = [F.max("total_n").alias("n")]
+    hits = F.lit(False)
     for i, p in enumerate(probs):
         at = (F.col("total_n") - 1) * F.lit(float(p))
         for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             holds = (F.col("upto_n") - F.col("n") <= rank) & (rank < F.col("upto_n"))
             aggs.append(F.max(F.when(holds, F.col("value"))).alias(f"_{side}{i}"))
+            hits = hits | holds
+    if blurred:
+        aggs.append(F.max(hits & F.col(blurred)).alias(blurred))
     picked = ranked.groupBy(*keys).agg(*aggs)
     out = []
     for i, p in enumerate(probs):
         at = (F.col("n") - 1) * F.lit(float(p))
         out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (at - F.floor(at))).alias(f"q{i}"))
-    return picked.select(*keys, "n", *out)
-
-
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              accuracy: int | None = None) -> DataFrame:
-    """Quantiles per column (and per `by` group): exact by default, sketched if `accuracy` is set."""
-    if accuracy is None:
-        return quantiles_of_counts(value_counts(df, columns, by), probs, [*by, "column"])
-    sketch = F.percentile_approx("value", [float(p) for p in probs], accuracy)
-    long = long_values(df, columns, by).groupBy(*by, "column").agg(sketch.alias("_q"), F.count("*").alias("n"))
-    return long.select(*by, "column", "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-
-
-def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                 accuracy: int | None = None) -> dict[str, list[float]]:
-    """Driver-side quantiles, one entry per column (all-NULL columns are absent)."""
-    rows = quantiles(df, columns, probs, accuracy=accuracy).collect()
-    return {r["column"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
+    return picked.select(*keys, "n", *out, *([blurred] if blurred else []))
+
+
+SKETCH = 2000
+LOCAL_COUNTS = 200_000
+
+
+def _quantiles_of_rows(rows, probs: Sequence[float]) -> dict:
+    """(group, column) -> (quantiles, blurred) from collected (_g, column, value, n, blurred) rows."""
+    parts: dict = {}
+    for r in sorted(rows, key=lambda r: r["value"]):
+        parts.setdefault((r["_g"], r["column"]), []).append(r)
+    out = {}
+    for key, held in parts.items():
+        upto = list(accumulate(r["n"] for r in held))
+        quants, blurred = [], False
+        for p in probs:
+            at = (upto[-1] - 1) * p
+            low, high = (held[bisect_right(upto, rank)] for rank in (floor(at), ceil(at)))
+            blurred = blurred or low["blurred"] or high["blurred"]
+            quants.append(low["value"] + (high["value"] - low["value"]) * (at - floor(at)))
+        out[key] = (quants, blurred)
+    return out
+
+
+def _sketch(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None, accuracy: int) -> dict:
+    """(group, column) -> approximate quantiles, in one pass; all-NULL columns are absent."""
+    wide = df.groupBy(*([by] if by else [])).agg(*[
+        F.percentile_approx(F.col(c).cast("double"), [float(p) for p in probs], accuracy).alias(f"_{i}")
+        for i, c in enumerate(columns)])
+    return {(r[by] if by else None, c): r[f"_{i}"] for r in wide.collect()
+            for i, c in enumerate(columns) if r[f"_{i}"] is not None}
+
+
+def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int | None = None,
+                 by: str | None = None) -> dict:
+    """Quantiles per column, or per (group, column) if `by` names a class column; all-NULL columns are absent.
+
+    Exact by default: a sketch brackets every quantile, a second pass counts the values outside the
+    brackets in bulk and groups only those inside, a thousandth or so of the rows, and the ranks are
+    read from these counts: here if at most LOCAL_COUNTS are left, else on the cluster. Should a rank fall outside its bracket, that column is counted in full.
+    `accuracy` returns the sketch itself.
+    """
+    columns = list(columns)
+    if not columns:
+        return {}
+    if accuracy is not None:
+        found = _sketch(df, columns, probs, by, accuracy)
+        return found if by else {c: q for (_, c), q in found.items()}
+    reach = 2.0 / SKETCH
+    edges = [(max(0.0, p - reach), min(1.0, p + reach)) for p in probs]
+    rough = _sketch(df, columns, [x for pair in edges for x in pair], by, SKETCH)
+    if not rough:
+        return {}
+    table = []
+    for (group, c), q in rough.items():
+        spans: list[list[float]] = []
+        for i, (low, high) in sorted(enumerate(edges), key=lambda e: e[1]):
+            start = float("-inf") if low == 0.0 else q[2 * i]
+            end = float("inf") if high == 1.0 else q[2 * i + 1]
+            if spans and start <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], end)
+            else:
+                spans.append([start, end])
+        spans += [[float("inf"), float("inf")]] * (len(edges) - len(spans))
+        table.append((group, c, *[x for span in spans for x in span]))
+    group_type = df.schema[by].dataType.simpleString() if by else "int"
+    bounds = [f"_{side}{i}" for i in range(len(edges)) for side in ("start", "end")]
+    spans = df.sparkSession.createDataFrame(
+        table, f"_g {group_type}, column string, " + ", ".join(f"{b} double" for b in bounds))
+    group = F.col(by) if by else F.lit(0)
+    if not by:
+        spans = spans.withColumn("_g", F.lit(0))
+    long = long_values(df.withColumn("_g", group), columns, ["_g"])
+    v = F.col("value")
+    part = F.when(v < F.col(bounds[0]), 0)  # even parts lie between the brackets, odd ones are brackets
+    for i, b in enumerate(bounds[1:], 1):
+        part = part.when(v <= F.col(b) if i % 2 else v < F.col(b), i)
+    placed = (long.join(F.broadcast(spans), ["_g", "column"])  # one row per group and column
+              .select("_g", "column", "value", part.otherwise(len(bounds)).alias("_at")))
+    inside = F.col("_at") % 2 == 1
+    keys = ["_g", "column"]
+    reduced = (placed.groupBy(*keys, "_at", F.when(inside, v).alias("_v"))
+               .agg(F.count("*").alias("n"), F.max("value").alias("value"))
+               .select(*keys, "value", "n", (~inside).alias("blurred")))
+    expected = df.count() * len(columns) * len(probs) * 2 * reach
+    rows = reduced.limit(LOCAL_COUNTS + 1).collect() if expected <= LOCAL_COUNTS / 4 else None
+    if rows is not None and len(rows) <= LOCAL_COUNTS:
+        found = _quantiles_of_rows(rows, probs)
+    else:
+        rows = quantiles_of_counts(reduced, probs, keys, "blurred").collect()  # one row per group and column
+        found = {(r["_g"], r["column"]): ([r[f"q{i}"] for i in range(len(probs))], r["blurred"]) for r in rows}
+    out = {key: q for key, (q, blurred) in found.items() if not blurred}
+    missed = sorted({c for (_, c), (_, blurred) in found.items() if blurred})
+    if missed:
+        full = quantiles_of_counts(value_counts(df.withColumn("_g", group), missed, ["_g"]), probs, keys).collect()
+        out.update({(r["_g"], r["column"]): [r[f"q{i}"] for i in range(len(probs))] for r in full})
+    return out if by else {c: q for (_, c), q in out.items()}
 
 
 HOT_SHARE = 1000

@@ -21,7 +21,9 @@ def data(spark):
                           "gappy": np.array([x for x in gappy if x is not None])}
 
 
-def test_quantiles_equal_numpy(data):
+@pytest.mark.parametrize("bound", [ranks.LOCAL_COUNTS, 0])
+def test_quantiles_equal_numpy(data, monkeypatch, bound):
+    monkeypatch.setattr(ranks, "LOCAL_COUNTS", bound)
     df, arrays = data
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.95, 1.0]
     found = ranks.quantile_map(df, list(arrays), probs)
@@ -53,10 +55,21 @@ def test_cumulate_without_keys(data):
     assert [r["upto_n"] for r in rows] == list(np.cumsum(np.unique(arrays["skewed"], return_counts=True)[1]))
 
 
+def test_quantiles_survive_wrong_brackets(data, monkeypatch):
+    df, arrays = data
+    probs = [0.25, 0.5]
+    monkeypatch.setattr(ranks, "_sketch", lambda df, columns, p, by, a: {(None, c): [3.0] * len(p) for c in columns})
+    found = ranks.quantile_map(df, ["skewed", "gappy"], probs)
+    for c in found:
+        assert found[c] == pytest.approx(list(np.quantile(arrays[c], probs)), rel=1e-12)
+
+
 def test_quantiles_by_group(data):
     df, arrays = data
-    rows = ranks.quantiles(df, ["hot"], [0.5], by=["y"]).collect()
-    assert {r["y"]: r["q0"] for r in rows} == {g: np.median(arrays["hot"][g::2]) for g in (0, 1)}
+    found = ranks.quantile_map(df, ["hot", "few"], [0.3, 0.5], by="y")
+    for g in (0, 1):
+        for c in ("hot", "few"):
+            assert found[g, c] == pytest.approx(list(np.quantile(arrays[c][g::2], [0.3, 0.5])), rel=1e-12)
 
 
 def test_sketched_quantiles_are_close(data):
