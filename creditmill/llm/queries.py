@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmill.llm import bpe, exact_dedup, language_id, mixing, quality, token_files
+from creditmill.llm import bpe, exact_dedup, language_id, mixing, quality, token_files, url_filter, warc
 from creditmill.llm.common import table
 
 TOKENIZER = os.environ.get("CREDITMILL_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+                       F.sha2("payload", 256).alias("payload_digest"), "record_type", "refers_to")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return (mixing.mix(docs).withColumn("taken", F.col("size") * F.col("copies"))
@@ -30,6 +36,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), TOKENIZER).drop("ids")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("component")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -38,7 +48,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_exact_dedup, op5_mixing, op6_token_files, op8_quality, op10_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op2_exact_dedup, op4_warc, op5_mixing, op6_token_files, op7_url_filter, op8_quality, op10_language_id)}
 
 OP2_SQL = """
 WITH d AS (SELECT doc_id, rowid_ AS r, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
@@ -47,6 +58,14 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST, r)"""
 
+OP4_SQL = """
+WITH d AS (SELECT page_id, coalesce(html, '') AS b, row_number() OVER () AS r FROM pages),
+h AS (SELECT page_id, r, CAST(strlen(b) AS BIGINT) AS payload_bytes, sha256(b) AS payload_digest FROM d),
+f AS (SELECT *, first_value(page_id) OVER w AS first_id, row_number() OVER w AS k FROM h
+      WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, r))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN k > 1 AND payload_bytes >= 100 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN k > 1 AND payload_bytes >= 100 THEN first_id END AS refers_to FROM f"""
+
 OP5_SQL = """
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
                   ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|7'), 1, 15))::BIGINT AS h FROM documents),
@@ -69,4 +88,40 @@ c AS (SELECT source, h, source_size, target,
 SELECT d.doc_id, d.size, c.source_size, c.target, d.size * c.copies AS taken
 FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h"""
 
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op5_mixing": OP5_SQL}
+# The components over canonical and refresh links are a recursive reach over both directions of each link.
+_OP7_KEY = "nullif(translate(regexp_extract({u}, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
+
+
+def _op7_rule(host: str, path: str) -> str:
+    arms = " ".join(f"WHEN ({host} = '{h}' OR {host} LIKE '%.{h}') AND starts_with({path}, '{p}') THEN '{a} {h}{p}'"
+                    for a, h, p in sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2])))
+    return f"CASE {arms} END"
+
+
+OP7_SQL = f"""
+WITH RECURSIVE p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+                  CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT *, coalesce({_OP7_KEY.format(u='rest')}, '') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+             regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail FROM p),
+l AS (SELECT host || tail AS a, url, host, path, unnest([
+        regexp_extract(regexp_extract(html, '(?i)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
+        regexp_extract(regexp_extract(html, '(?i)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1)
+      ]) AS raw FROM q WHERE host <> ''),
+r AS (SELECT a, replace(raw, '&amp;', '&') AS href, regexp_extract(url, '^[^:/?#]*://[^/?#]*') AS root,
+             regexp_extract(path, '^(.*/)?', 0) AS folder FROM l WHERE raw <> ''),
+t AS (SELECT a, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN substr(href, instr(href, '://') + 3)
+                     WHEN starts_with(href, '//') THEN substr(href, 3)
+                     WHEN starts_with(href, '/') THEN substr(root || href, instr(root, '://') + 3)
+                     ELSE substr(root || coalesce(nullif(folder, ''), '/') || href, instr(root, '://') + 3) END AS rest FROM r),
+e AS (SELECT a, {_OP7_KEY.format(u='rest')} || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS b FROM t),
+s AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+reach(node, other) AS (SELECT a, a FROM s UNION SELECT reach.node, s.b FROM reach JOIN s ON reach.other = s.a),
+ruled AS (SELECT node, other, {_op7_rule("regexp_extract(other, '^[^/?#]*')", "regexp_extract(other, '^[^/?#]*([^?#]*)', 1)")} AS r FROM reach),
+carried AS (SELECT node, bool_or(coalesce(r LIKE 'allow %', false)) AS cleared, bool_or(coalesce(r LIKE 'block %', false)) AS blocked
+            FROM ruled GROUP BY node),
+o AS (SELECT page_id, host, path, host || tail AS k, {_op7_rule('host', 'path')} AS r FROM q)
+SELECT page_id, host, path, split_part(r, ' ', 2) AS rule,
+       coalesce(split_part(r, ' ', 1), CASE WHEN blocked AND NOT cleared THEN 'block' ELSE 'allow' END) AS verdict
+FROM o LEFT JOIN carried ON o.host <> '' AND o.k = carried.node"""
+
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op5_mixing": OP5_SQL, "op7_url_filter": OP7_SQL}
