@@ -18,6 +18,8 @@ from creditmill.llm.common import SPACES, whole_text
 from creditmill.session import settle, shuffle_width
 
 RUN = "at int, run int, digest binary, n_bytes bigint, keep_id bigint, keep_row bigint, group_size bigint"
+_ARROW = pa.schema([("at", pa.int32()), ("run", pa.int32()), ("digest", pa.binary()), ("n_bytes", pa.int64()),
+                    ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64())])
 _ORDER = [F.col("digest"), F.col("n_bytes"), F.col("keep_id").asc_nulls_last(), F.col("keep_row")]
 
 
@@ -25,7 +27,7 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge neighbours of a sorted stream whose full digest and byte length agree; the first of each is the smallest."""
     held = None
     for batch in batches:
-        here = pa.Table.from_batches([batch])
+        here = pa.Table.from_arrays(batch.columns, schema=_ARROW)
         if held is not None:
             here = pa.concat_tables([held, here]).combine_chunks()
         if not here.num_rows:
