@@ -13,10 +13,9 @@ import hashlib
 import json
 import re
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,35 +220,23 @@ def chunks_of(text: str) -> list[str]:
     return [c for c in SPACE.split(text) if c]
 
 
-def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, from its whole text, encoded and decoded again.
 
-    Null and empty text have no ids and decode to empty text. A text is worked on by itself in the task that reads it, so
-    rows that repeat a key, ties, empty tables and extra columns (which are not read) need no rule. `tokenizer` is the
-    file's path on every executor.
+    `with_ids` adds the ids themselves as an array. Null and empty text have no ids and decode to empty text. A text is
+    worked on by itself in the task that reads it, so rows that repeat a key, ties, empty tables and extra columns (which are
+    not read) need no rule. `tokenizer` is the file's path on every executor.
     """
     def make() -> Callable[..., tuple]:
         encoder = per_worker(("bpe", tokenizer), lambda: Encoder(tokenizer))
 
         def row(doc_id, value):
             ids = encoder.encode(value or "")
-            return (doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                    hashlib.sha256(encoder.decode(ids)).hexdigest())
+            told = (doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest())
+            return (*told, np.frombuffer(ids, "<i4")) if with_ids else told
 
         return row
 
     return rows_to_arrow(docs.select(F.col(key).cast("bigint"), F.col(text).cast("string")),
-                         "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", make)
-
-
-def with_ids(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """`docs` with the ids of the text as an array column `ids` and their number as `n_tokens` (replaced if present)."""
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = per_worker(("bpe", tokenizer), lambda: Encoder(tokenizer))
-        for texts in batches:
-            yield pd.Series([np.frombuffer(encoder.encode(t or ""), "<u4").astype(np.int32) for t in texts])
-
-    plain = docs.drop("ids", "n_tokens")
-    return (plain.withColumn("ids", encoded(F.col(text).cast("string")))
-            .withColumn("n_tokens", F.size("ids").cast("bigint")))
+                         "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids,
+                         make)

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditmill.session import shuffle_width
+
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -54,6 +56,20 @@ def rows_to_arrow(df: DataFrame, columns: str, make: Callable[[], Callable[...,
     return df.mapInArrow(run, schema)
 
 
+def with_least(rows: DataFrame, keys: list[str], spread: str, **values: Column) -> DataFrame:
+    """`rows` with the smallest of each value over all rows of their key.
+
+    Rows of a key are cut into parts by the hash of `spread`: the smallest is found in each part first, then over all, and
+    told to the parts again, so a hot key needs no single task.
+    """
+    parts = shuffle_width(rows.sparkSession)
+    cut = rows.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int"))
+    by_part = cut.groupBy(*keys, "_part").agg(*[F.min(v).alias(f"_{n}") for n, v in values.items()])
+    whole = by_part.groupBy(*keys).agg(*[F.min(f"_{n}").alias(n) for n in values])
+    told = by_part.select(*keys, "_part").join(whole, keys)
+    return cut.join(told, [*keys, "_part"]).drop("_part")
+
+
 def shards_for(copies: str | Column, per: int) -> Column:
     """Into how many shards a key with so many rows is cut."""
     return F.greatest(F.lit(1), F.ceil((F.col(copies) if isinstance(copies, str) else copies) / F.lit(per))).cast("int")

@@ -2,23 +2,14 @@
 
 Edges point from the larger node to the smaller. A star step hangs every neighbour of a node on the smallest node around;
 a few rounds leave stars whose centre is the smallest node of the component. Only sums reach the driver. A node with very
-many edges is worked on in parts: its smallest neighbour is found per part first and told to the parts again.
+many edges is worked on in parts.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.session import settle, shuffle_width
-
-
-def with_least(rows: DataFrame, key: str, value: str, least: str) -> DataFrame:
-    """`rows` with the smallest `value` of each key, found and handed back in parts, so a hot key needs no single task."""
-    parts = shuffle_width(rows.sparkSession)
-    cut = rows.withColumn("_part", F.pmod(F.xxhash64(value), F.lit(parts)).cast("int"))
-    by_part = cut.groupBy(key, "_part").agg(F.min(value).alias("_m"))
-    whole = by_part.groupBy(F.col(key).alias("_k")).agg(F.min("_m").alias(least))
-    told = by_part.join(whole, F.col(key) == F.col("_k")).select(F.col(key).alias("_k"), F.col("_part").alias("_p"), least)
-    return cut.join(told, (F.col(key) == F.col("_k")) & (F.col("_part") == F.col("_p"))).drop("_k", "_p", "_part")
+from creditmill.llm.common import with_least
+from creditmill.session import settle
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -31,9 +22,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     seen = _checksum(state)
     while seen[0]:
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (with_least(both, "u", "v", "m").filter("v > u")
+        large = (with_least(both, ["u"], "v", m=F.col("v")).filter("v > u")
                  .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
-        small = with_least(large, "u", "v", "m")
+        small = with_least(large, ["u"], "v", m=F.col("v"))
         hung = (small.select("u", F.col("m").alias("v")).union(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
                 .distinct())
         state = settle(hung)

@@ -20,7 +20,10 @@ from creditmill.session import settle, shuffle_width
 RUN = "at int, run int, digest binary, n_bytes bigint, keep_id bigint, keep_row bigint, group_size bigint"
 _ARROW = pa.schema([("at", pa.int32()), ("run", pa.int32()), ("digest", pa.binary()), ("n_bytes", pa.int64()),
                     ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64())])
-_ORDER = [F.col("digest"), F.col("n_bytes"), F.col("keep_id").asc_nulls_last(), F.col("keep_row")]
+
+
+def _order() -> list[Column]:
+    return [F.col("digest"), F.col("n_bytes"), F.col("keep_id").asc_nulls_last(), F.col("keep_row")]
 
 
 def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +71,7 @@ def merge_runs(runs: DataFrame, fan_in: int = 4) -> DataFrame:
 
         to = F.col("at") + (digit(home) - digit(F.col("at"))) * F.lit(unit)
         state = (state.withColumn("at", to.cast("int")).repartitionById(width, F.col("at"))
-                 .sortWithinPartitions(*_ORDER).mapInArrow(_merged, RUN))
+                 .sortWithinPartitions(*_order()).mapInArrow(_merged, RUN))
     return state
 
 
@@ -86,7 +89,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", f
                           F.unhex(F.sha2("_t", 256)).alias("digest"), F.octet_length("_t").cast("bigint").alias("n_bytes")))
     first = rows.select(F.lit(0).alias("at"), "run", "digest", "n_bytes", F.col("doc_id").alias("keep_id"),
                         F.col("row").alias("keep_row"), F.lit(1).cast("bigint").alias("group_size"))
-    runs = settle(first.sortWithinPartitions("run", *_ORDER).mapInArrow(_merged, RUN))
+    runs = settle(first.sortWithinPartitions("run", *_order()).mapInArrow(_merged, RUN))
     groups = merge_runs(runs, fan_in).filter("group_size > 1")
     # Down again: a digest is once in each run, and a run's rows meet it by (run, digest).
     told = (runs.select("run", "digest", "n_bytes")

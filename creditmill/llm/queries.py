@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmill.llm import bpe, exact_dedup, language_id, mixing, quality, token_files, url_filter, warc
+from creditmill.llm import bpe, exact_dedup, jaccard_join, language_id, line_dedup, mixing, quality, token_files, url_filter, warc
 from creditmill.llm.common import table
 
 TOKENIZER = os.environ.get("CREDITMILL_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, how many went as equal or near copies, and the digest of the text that is left."""
+    told = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return told.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", F.octet_length("payload").cast("bigint").alias("payload_bytes"),
@@ -44,12 +50,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op2_exact_dedup, op4_warc, op5_mixing, op6_token_files, op7_url_filter, op8_quality, op10_language_id)}
+    op1_bpe, op2_exact_dedup, op3_line_dedup, op4_warc, op5_mixing, op6_token_files, op7_url_filter, op8_quality, op9_jaccard_join,
+    op10_language_id)}
 
 OP2_SQL = """
 WITH d AS (SELECT doc_id, rowid_ AS r, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
@@ -58,6 +69,26 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST, r)"""
 
+_WORDS = "list_filter(string_split_regex({t}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+OP3_SQL = f"""
+WITH l AS (SELECT doc_id, unnest(range(1, len(s) + 1)) AS line, unnest(s) AS t
+           FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL)),
+o AS (SELECT *, {_WORDS.format(t='t')} AS w, row_number() OVER (ORDER BY doc_id NULLS LAST, line) AS no FROM l),
+e AS (SELECT *, len(w) > 0 AND no > min(no) OVER (PARTITION BY t) AS again FROM o),
+k AS (SELECT no, -1 AS place, array_to_string(w, ' ') AS v, len(w) AS n FROM e WHERE NOT again AND len(w) >= {line_dedup.NEAR_WORDS}
+      UNION ALL SELECT no, place, array_to_string(list_concat(w[1:place - 1], w[place + 1:]), ' '), len(w) - 1
+      FROM (SELECT no, w, unnest(range(1, len(w) + 1)) AS place FROM e WHERE NOT again AND len(w) >= {line_dedup.NEAR_WORDS})),
+g AS (SELECT no, place, min(no) OVER (PARTITION BY v, n, place) AS same, min(CASE WHEN place < 0 THEN no END) OVER (PARTITION BY v, n) AS whole,
+             min(no) OVER (PARTITION BY v, n) AS any_of FROM k),
+d AS (SELECT DISTINCT no FROM g WHERE same < no OR whole < no OR place < 0 AND any_of < no),
+r AS (SELECT e.doc_id, e.line, e.t, e.again, d.no IS NOT NULL AS near FROM e LEFT JOIN d ON e.no = d.no)
+SELECT x.doc_id, CAST(coalesce(len(string_split(x.text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(a.n_exact, 0) AS BIGINT) AS n_exact, CAST(coalesce(a.n_near, 0) AS BIGINT) AS n_near,
+       CASE WHEN x.text IS NOT NULL THEN sha256(coalesce(a.kept, '')) END AS text_sha256
+FROM documents x LEFT JOIN (SELECT doc_id, sum(again::INT) AS n_exact, sum(near::INT) AS n_near,
+     string_agg(t, chr(10) ORDER BY line) FILTER (WHERE NOT again AND NOT near) AS kept FROM r GROUP BY doc_id) a ON x.doc_id = a.doc_id"""
+
 OP4_SQL = """
 WITH d AS (SELECT page_id, coalesce(html, '') AS b, row_number() OVER () AS r FROM pages),
 h AS (SELECT page_id, r, CAST(strlen(b) AS BIGINT) AS payload_bytes, sha256(b) AS payload_digest FROM d),
@@ -124,4 +155,18 @@ SELECT page_id, host, path, split_part(r, ' ', 2) AS rule,
        coalesce(split_part(r, ' ', 1), CASE WHEN blocked AND NOT cleared THEN 'block' ELSE 'allow' END) AS verdict
 FROM o LEFT JOIN carried ON o.host <> '' AND o.k = carried.node"""
 
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op5_mixing": OP5_SQL, "op7_url_filter": OP7_SQL}
+OP9_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(
+    t="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                          ELSE list_filter([array_to_string(w, ' ')], lambda x: x <> '') END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+k AS (SELECT p.a, p.b FROM p JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.a, k.b FROM reach JOIN k ON reach.b = k.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.doc_id"""
+
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_warc": OP4_SQL, "op5_mixing": OP5_SQL, "op7_url_filter": OP7_SQL,
+           "op9_jaccard_join": OP9_SQL}
