@@ -213,7 +213,7 @@ cdf AS (SELECT col, v, ref/SUM(ref) OVER t AS p, cur/SUM(cur) OVER t AS q,
   SUM(ref) OVER t AS n_ref, SUM(cur) OVER t AS n_cur
   FROM counts WINDOW w AS (PARTITION BY col ORDER BY v), t AS (PARTITION BY col)),
 found AS (SELECT col, CAST(MAX(n_ref) AS BIGINT) AS n_reference, CAST(MAX(n_cur) AS BIGINT) AS n_current,
-  COUNT(*) AS n_values, SUM(ABS(gap)*COALESCE(dx,0)) AS w1, MAX(ABS(gap)) AS ks,
+  COUNT(*) FILTER (WHERE p>0) AS n_values, SUM(ABS(gap)*COALESCE(dx,0)) AS w1, MAX(ABS(gap)) AS ks,
   SUM((CASE WHEN p>0 THEN p*LOG2(p/((p+q)/2)) ELSE 0 END + CASE WHEN q>0 THEN q*LOG2(q/((p+q)/2)) ELSE 0 END)/2) AS js
   FROM cdf GROUP BY col),
 dev AS (SELECT col, STDDEV_POP(v) AS s FROM long WHERE is_ref=1 GROUP BY col),

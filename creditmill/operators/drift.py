@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from creditmill import schema as S
 from creditmill.functions.columns import share_or_zero
 from creditmill.operators import ranks
+from creditmill.session import settle
 
 # Limits of the default test choice.
 LARGE_REFERENCE = 1000
@@ -26,17 +27,24 @@ def _ks_p_value(d, n, m):
     return F.when(x < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
-def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str] = tuple(S.NUMERICAL)) -> DataFrame:
+TESTS = ("auto", "kolmogorov_smirnov", "jensen_shannon", "wasserstein")
+
+
+def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str] = tuple(S.NUMERICAL),
+                 test: str = "auto") -> DataFrame:
     """One row per numerical column in both frames: statistic, test used and verdict.
 
-    Large references: Wasserstein-1 distance over the reference deviation (Jensen-Shannon distance for
-    columns of at most five values), drifted from 0.1 on. Up to 1000 rows: Kolmogorov-Smirnov, p < 0.05.
+    `test="auto"` chooses by the reference: above 1000 rows the Wasserstein-1 distance over the reference deviation
+    (Jensen-Shannon distance for columns of at most five values), drifted from 0.1 on; else Kolmogorov-Smirnov, p < 0.05.
+    Any other name fixes the test. Both frames are read once; everything follows from counts per distinct value.
     """
+    if test not in TESTS:
+        raise ValueError(f"unknown test: {test}")
     columns = [c for c in columns if c in reference.columns and c in current.columns]
     both = (ranks.long_values(reference, columns).withColumn("is_ref", F.lit(1))
             .unionByName(ranks.long_values(current, columns).withColumn("is_ref", F.lit(0))))
-    counts = both.groupBy("column", "value").agg(F.sum("is_ref").alias("ref"),
-                                                 F.sum(1 - F.col("is_ref")).alias("cur"))
+    counts = settle(both.groupBy("column", "value").agg(F.sum("is_ref").alias("ref"),
+                                                        F.sum(1 - F.col("is_ref")).alias("cur")))
     steps = ranks.cumulate(counts, "value", ["ref", "cur"], ["column"], with_next=True)
     c = F.col
     gap = F.abs(share_or_zero("upto_ref", "total_ref") - share_or_zero("upto_cur", "total_cur"))
@@ -45,23 +53,26 @@ def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
     mid = (p + q) / 2
     def bits(x):
         return F.when(x > 0, x * F.log2(x / mid)).otherwise(0.0)
-    # moments about a value near the data keep the deviation exact for large numbers
     found = steps.groupBy("column").agg(
         F.max("total_ref").alias("n_reference"), F.max("total_cur").alias("n_current"),
-        F.count("*").alias("n_values"), F.sum(gap * width).alias("w1"), F.max(gap).alias("ks"),
+        F.count_if(c("ref") > 0).alias("n_values"), F.sum(gap * width).alias("w1"), F.max(gap).alias("ks"),
         F.sum((bits(p) + bits(q)) / 2).alias("divergence"))
-    spread = (ranks.long_values(reference, columns).groupBy("column")
-              .agg(F.stddev_pop("value").alias("reference_std")))
-    joined = found.join(F.broadcast(spread), "column")  # one row per column
+    # one row per column; moments about the mean keep the deviation exact for large numbers
+    mean = counts.groupBy("column").agg((F.sum(c("ref") * c("value")) / F.sum("ref")).alias("mean"))
+    far = (c("value") - c("mean")) * (c("value") - c("mean"))
+    spread = (counts.join(F.broadcast(mean), "column").groupBy("column")
+              .agg(F.sqrt(F.sum(c("ref") * far) / F.sum("ref")).alias("reference_std")))
+    joined = found.join(F.broadcast(spread), "column")
     large = c("n_reference") > LARGE_REFERENCE
     few = c("n_values") <= FEW_VALUES
-    test = (F.when(~large, "kolmogorov_smirnov").when(few, "jensen_shannon").otherwise("wasserstein"))
+    chosen = (F.when(~large, "kolmogorov_smirnov").when(few, "jensen_shannon").otherwise("wasserstein") if test == "auto"
+              else F.lit(test))
     stat = (F.when(c("test") == "kolmogorov_smirnov", _ks_p_value(c("ks"), c("n_reference"), c("n_current")))
             .when(c("test") == "jensen_shannon", F.sqrt(F.greatest(c("divergence"), F.lit(0.0))))
             .otherwise(c("w1") / F.greatest("reference_std", F.lit(LEAST_STD))))
     limit_hit = (F.when(c("test") == "kolmogorov_smirnov", c("statistic") < P_LIMIT)
                  .otherwise(c("statistic") >= DISTANCE_LIMIT))
-    return (joined.withColumn("test", test).withColumn("statistic", stat).withColumn("drifted", limit_hit)
+    return (joined.withColumn("test", chosen).withColumn("statistic", stat).withColumn("drifted", limit_hit)
             .select("column", "n_reference", "n_current", "n_values", "w1", "ks", "test", "statistic", "drifted"))
 
 

@@ -4,7 +4,6 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,12 +13,13 @@ from creditmill.functions import scoring as fn
 from creditmill.functions.columns import fixed_text, round_exact
 from creditmill.operators import models, ranks, sampling
 from creditmill.operators.scoring import PD
+from creditmill.session import settle
 
 BINS = 20
 TOP_FEATURES = 30
 SUMMARY_FEATURES = 20
 EXPLAINED, PER_SIDE = 10, 5
-BACKGROUND = 100
+BACKGROUND_ROWS = 100
 
 
 # --- relevance --------------------------------------------------------------------------------
@@ -100,14 +100,15 @@ def linear_attributions(df: DataFrame, coefficients: Mapping[str, float], key: s
 
 
 def shapley_values(model, df: DataFrame, features: Sequence[str], permutations: int = 8,
-                   background: DataFrame | None = None, max_rows: int | None = None, seed: int = S.SEED,
-                   key: str = S.KEY) -> DataFrame:
+                   background: DataFrame | None = None, background_rows: int = BACKGROUND_ROWS,
+                   max_rows: int | None = None, seed: int = S.SEED, key: str = S.KEY) -> DataFrame:
     """(key, feature, value, phi): sampled Shapley values (Strumbelj and Kononenko, 2014) of any model.
 
     Per row and permutation, a background row turns into the explained row feature by feature; each
     step's change in PD is credited to the feature that moved. Every evaluation adds to one feature and
-    subtracts from the next, so all rows of a loan are summed where they were made. `max_rows` explains
-    a seeded sample instead of every row.
+    subtracts from the next, so all rows of a loan are summed where they were made. The background is a
+    seeded sample of `background_rows` rows of `background` (`df` itself by default). `max_rows` explains a
+    seeded sample instead of every row.
     """
     features = list(features)
     d = len(features)
@@ -115,16 +116,16 @@ def shapley_values(model, df: DataFrame, features: Sequence[str], permutations:
     if max_rows:
         rows = sampling.fixed_sample(rows, max_rows, seed, key)
     source = df if background is None else background
-    # BACKGROUND rows are the reference population, carried as one array
-    held = [[float(r[f] or 0.0) for f in features]
-            for r in sampling.fixed_sample(source.select(key, *features), BACKGROUND, seed, key).collect()]
-    population = F.array(*[F.array(*[F.lit(x) for x in z]) for z in held])
+    population = settle(sampling.fixed_sample(source.select(key, *features), background_rows, seed, key).select(
+        (F.row_number().over(W.orderBy(key)) - 1).alias("_z"),
+        F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]).alias("z")))
+    held = population.count()
     turns = rows.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
     hashes = F.array(*[F.xxhash64(F.lit(seed), key, "turn", F.lit(i)) for i in range(d)])
     turns = (turns.withColumn("_h", hashes).withColumn("_s", F.array_sort("_h"))
              .withColumn("place", F.transform("_h", lambda h: F.array_position("_s", h).cast("int")))
-             .withColumn("z", population[F.pmod(F.xxhash64(F.lit(seed + 1), key, "turn"), F.lit(len(held))).cast("int")])
-             .drop("_h", "_s"))
+             .withColumn("_z", F.pmod(F.xxhash64(F.lit(seed + 1), key, "turn"), F.lit(held)).cast("int"))
+             .join(F.broadcast(population), "_z").drop("_h", "_s", "_z"))  # background_rows rows
     steps = turns.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(d))))
     mixed = steps.select(
         key, "place", "step", F.array(*features).alias("own"),
@@ -152,43 +153,36 @@ def attribution_dependence(phi: DataFrame, feature: str, key: str = S.KEY) -> Da
     return phi.filter(F.col("feature") == feature).select(key, "value", "phi")
 
 
-def _normal(*parts):
-    """A standard normal number from two hashes (Box-Muller)."""
-    def unit(salt):
-        return (F.pmod(F.xxhash64(F.lit(salt), *parts), F.lit(1 << 30)) + 1) / float((1 << 30) + 1)
-    return F.sqrt(-2 * F.log(unit("r"))) * F.cos(2 * np.pi * unit("a"))
-
-
 def local_surrogate(model, df: DataFrame, features: Sequence[str], samples: int = 200, top: int = 10,
                     ridge: float = 1.0, seed: int = S.SEED, key: str = S.KEY) -> DataFrame:
     """(key, feature, weight): the strongest weights of a local linear model around each row.
 
-    Each row is perturbed `samples` times by the spread of every feature; samples are weighted by
-    closeness and a ridge regression of the PD is solved per row, a group of `samples` rows.
+    Each row is perturbed `samples` times by the spread of every feature; samples are weighted by closeness and a ridge
+    regression of the PD is solved per row. All rows share the draws, so the regression matrix is solved once and a weight
+    is a sum of PDs times constants: a plain aggregate.
     """
     features = list(features)
-    d = len(features)
+    d, spark = len(features), df.sparkSession
     spread = df.agg(*[F.stddev_pop(f).alias(f) for f in features]).first()
     std = [float(spread[f] or 0.0) or 1.0 for f in features]
+    step = np.random.default_rng(seed).standard_normal((samples, d))
+    step[0] = 0.0  # the row itself
+    x = np.column_stack([np.ones(samples), step])
+    closeness = np.sqrt(np.exp(-(step ** 2).sum(axis=1) / (0.75 * np.sqrt(d)) ** 2))
+    left = x.T @ (x * closeness[:, None])
+    left[1:, 1:] += ridge * np.eye(d)
+    share = np.linalg.solve(left, x.T * closeness)[1:]  # feature x draw
+    draws = spark.createDataFrame([(i, step[i].tolist(), share[:, i].tolist()) for i in range(samples)],
+                                  "draw int, step array<double>, share array<double>")
     rows = df.select(key, *[F.col(f).cast("double").alias(f) for f in features])
     noisy = (rows.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
-             .withColumn("step", F.array(*[F.when(F.col("draw") == 0, F.lit(0.0)).otherwise(
-                 _normal(F.lit(seed), F.col(key), F.col("draw"), F.lit(i))) for i in range(d)]))
-             .select(key, "step", *[(F.col(f) + F.col("step")[i] * std[i]).alias(f) for i, f in enumerate(features)]))
-    scored = models.predict_pd(model, noisy).select(key, "step", PD)
-    width = 0.75 * np.sqrt(d)
-
-    def solve(part: pd.DataFrame) -> pd.DataFrame:
-        x = np.column_stack([np.ones(len(part)), np.array(part["step"].tolist())])
-        closeness = np.sqrt(np.exp(-(x[:, 1:] ** 2).sum(axis=1) / width ** 2))
-        left = x.T @ (x * closeness[:, None])
-        left[1:, 1:] += ridge * np.eye(d)
-        weights = np.linalg.solve(left, x.T @ (closeness * part[PD].to_numpy()))[1:]
-        order = np.argsort(-np.abs(weights), kind="stable")[:top]
-        return pd.DataFrame({key: part[key].iloc[0], "feature": [features[i] for i in order],
-                             "weight": weights[order]})
-
-    return scored.groupBy(key).applyInPandas(solve, f"{key} bigint, feature string, weight double")
+             .join(F.broadcast(draws), "draw")  # one row a draw
+             .select(key, "share", *[(F.col(f) + F.col("step")[i] * std[i]).alias(f) for i, f in enumerate(features)]))
+    summed = (models.predict_pd(model, noisy).groupBy(key)
+              .agg(*[F.sum(F.col(PD) * F.col("share")[i]).alias(f"w{i}") for i in range(d)]))
+    ranked = F.sort_array(F.array(*[F.struct((-F.abs(f"w{i}")).alias("place"), F.lit(i).alias("no"), F.lit(f).alias("feature"),
+                                             F.col(f"w{i}").alias("weight")) for i, f in enumerate(features)]))
+    return summed.select(key, F.inline(F.slice(ranked, 1, top))).select(key, "feature", "weight")
 
 
 def business_explanation(phi: DataFrame, scored: DataFrame, pd_col: str = PD, key: str = S.KEY) -> DataFrame:

@@ -23,18 +23,21 @@ def stack_models(df: DataFrame, models: Mapping[str, str], y: str = S.TARGET, ke
     return wide.unpivot([key, y], list(models), "model", PD)
 
 
+def _rates():
+    c = F.col
+    return [share_or_zero(c("tp") + c("tn"), c("tp") + c("fp") + c("fn") + c("tn")).alias("accuracy"),
+            share_or_zero("tp", c("tp") + c("fp")).alias("precision"),
+            share_or_zero("tp", c("tp") + c("fn")).alias("recall"),
+            share_or_zero(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn")).alias("f1_score")]
+
+
 def threshold_metrics(df: DataFrame, y: str = S.TARGET, p: str = PD, by: Sequence[str] = (),
                       cut: float = 0.5) -> DataFrame:
     """Accuracy, precision, recall and F1 of p > cut; 0 where undefined."""
     hit, bad = F.col(p) > cut, F.col(y) == 1
     cells = df.groupBy(*by).agg(F.count_if(hit & bad).alias("tp"), F.count_if(hit & ~bad).alias("fp"),
                                 F.count_if(~hit & bad).alias("fn"), F.count_if(~hit & ~bad).alias("tn"))
-    c = F.col
-    return cells.select(
-        *by, share_or_zero(c("tp") + c("tn"), c("tp") + c("fp") + c("fn") + c("tn")).alias("accuracy"),
-        share_or_zero("tp", c("tp") + c("fp")).alias("precision"),
-        share_or_zero("tp", c("tp") + c("fn")).alias("recall"),
-        share_or_zero(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn")).alias("f1_score"))
+    return cells.select(*by, *_rates())
 
 
 def score_steps(df: DataFrame, y: str = S.TARGET, p: str = PD, by: Sequence[str] = ()) -> DataFrame:
@@ -109,11 +112,22 @@ def gain_lift_deciles(df: DataFrame, y: str = S.TARGET, p: str = PD, by: Sequenc
             .select(*by, "decile", "at.pct_population", "at.pct_defaults", "at.lift"))
 
 
-def all_metrics(df: DataFrame, y: str = S.TARGET, p: str = PD, by: Sequence[str] = ("model",)) -> DataFrame:
-    """One row per model: threshold metrics, ROC AUC and PR AUC."""
-    by = list(by)
-    return (threshold_metrics(df, y, p, by).join(roc_auc(df, y, p, by), by)
-            .join(average_precision(df, y, p, by), by))
+def all_metrics(df: DataFrame, y: str = S.TARGET, p: str = PD, by: Sequence[str] = ("model",), cut: float = 0.5) -> DataFrame:
+    """One row per model: threshold metrics, ROC AUC and PR AUC, all from one count per distinct score."""
+    by, c = list(by), F.col
+    hit, neg = c("score") > cut, c("n") - c("pos")
+    below = (c("total_n") - c("total_pos") - (c("upto_n") - c("upto_pos"))).cast("double")
+
+    def count(keep, what):
+        return F.sum(F.when(keep, what).otherwise(F.lit(0)))
+
+    told = _sums(score_steps(df, y, p, by), by, [
+        count(hit, c("pos")).alias("tp"), count(hit, neg).alias("fp"), count(~hit, c("pos")).alias("fn"), count(~hit, neg).alias("tn"),
+        F.sum(c("pos") * (below + neg.cast("double") / 2)).alias("won"),
+        F.sum(ratio("pos", "total_pos") * (c("upto_pos") / c("upto_n"))).alias("pr_auc"),
+        F.max("total_pos").alias("pos"), F.max("total_n").alias("n")])
+    pairs = c("pos").cast("double") * (c("n") - c("pos"))
+    return told.select(*by, *_rates(), ratio("won", pairs).alias("roc_auc"), "pr_auc")
 
 
 def model_comparison(leaderboard: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from creditmill.functions.columns import ordered_hash
-from creditmill.session import shuffle_width
+from creditmill.session import settle, shuffle_width
 
 SPLIT_SAMPLE = 16
 DIRECT_WIDTH = 32
@@ -61,7 +61,8 @@ def cumulate(grouped: DataFrame, value: str, sums: Sequence[str], keys: Sequence
     `with_next` adds `next_value`, the following value in the same order (NULL at the end).
     """
     keys = list(keys)
-    marked = with_ranges(grouped, value, keys, width)
+    # splits, totals and rows all read it: one row per distinct value is stored, whatever lies before it runs once
+    marked = with_ranges(settle(grouped), value, keys, width)
     in_order = F.col("_range").desc() if descending else F.col("_range").asc()
     edge = F.max(value) if descending else F.min(value)
     totals = marked.groupBy(*keys, "_range").agg(*[F.sum(s).alias(s) for s in sums], edge.alias("_edge"))

@@ -20,11 +20,6 @@ def stratified_split(df: DataFrame, y: str = S.TARGET, test_share: float = S.TES
     return df.withColumn("is_test", ranks.hash_cut(df, key, seed, y, sizes))
 
 
-def train_test(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
-    marked = stratified_split(df, **kw)
-    return (marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test"))
-
-
 def stratified_folds(df: DataFrame, y: str = S.TARGET, k: int = 5, seed: int = S.SEED,
                      key: str = S.KEY) -> DataFrame:
     """Add `fold` 0..k-1, dealt out round-robin within each class."""

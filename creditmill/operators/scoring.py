@@ -75,11 +75,6 @@ def purpose_table(df: DataFrame) -> DataFrame:
                     F.round("_amount", 0).alias("avg_amount")))
 
 
-def with_decisions(scored: DataFrame, pd_col: str = PD) -> DataFrame:
-    return scored.withColumns({"decision_by_tier": scoring.decision_by_tier("risk_tier"),
-                               "decision_by_pd": scoring.decision_by_pd(pd_col)})
-
-
 def risk_factors(applications: DataFrame, dashboard: bool = False) -> DataFrame:
     """Add up to five risk and five protective reasons per application."""
     return applications.withColumns({"top_risk_factors": rules.reasons("risk", dashboard),
