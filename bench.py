@@ -23,8 +23,6 @@ HEADLINE = [
     "undersample", "roc_auc", "gain_lift", "model_comparison", "column_drift", "mutual_information",
     "business_explanation", "smote_neighbors",
 ]
-# Fits at full settings; boosting at a tenth of its rounds, see the README.
-FITS = {"LogisticRegression": {}, "DecisionTree": {}, "NaiveBayes": {}, "WeightedBoosting": {"maxIter": 30}}
 
 
 def timed(action):
@@ -50,8 +48,8 @@ def main():
         train, _, used = frames(spark, sf_dir)
         train = train.persist()
         train.count()
-        for name, params in FITS.items():
-            times[f"fit_{name}"] = timed(lambda: models.train(name, train, used, **params))
+        for name in models.SPECS:  # at full settings
+            times[f"fit_{name}"] = timed(lambda: models.train(name, train, used))
             print(f"fit_{name} {times[f'fit_{name}']}", file=sys.stderr, flush=True)
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))

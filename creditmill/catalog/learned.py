@@ -1,7 +1,6 @@
-"""Trained models, calibration, batch and stream scoring, attributions.
+"""Trained models, calibration, batch and stream scoring, attributions, at the operators' own settings.
 
-Rounds and trees are fewer here than the operators' defaults, so that every query stays short; the
-tables are always read whole.
+Only the tuning search is cut down: two trials from narrow ranges, as one trial of the full ranges alone takes minutes.
 """
 
 from pyspark.sql import functions as F
@@ -10,19 +9,17 @@ from creditmill import schema as S
 from creditmill.catalog.base import applications_of, feature_loans, oracle, rounded, stored_loans
 from creditmill.operators import explain, metrics, models
 from creditmill.plans import prediction, training
-from creditmill.session import scratch_path, settle
+from creditmill.session import scratch_path
 from creditmill.sources import files
 from creditmill.sources.loans_view import clean_loans
 from creditmill.streaming import applications as stream
 
-QUICK = {"RandomForest": {"numTrees": 20, "maxDepth": 8}, "GradientBoosting": {"maxIter": 10, "maxDepth": 4},
-         "WeightedBoosting": {"maxIter": 10, "maxDepth": 4}, "LogisticRegression": {"maxIter": 50}}
+VERSION = "2.0.0"  # of the model served here, which is not calibrated
 # A plain linear scorecard over raw inputs, for attributions that have a closed form.
 SCORECARD = {"int_rate": 0.02, "dti": 0.004, "annual_inc": -0.0000015, "loan_amnt": 0.000004, "revol_util": 0.0008,
              "revol_bal": 0.000002, "installment": 0.00003, "total_acc": -0.003, "open_acc": -0.006,
              "delinq_2yrs": 0.03, "inq_last_6mths": 0.015, "pub_rec": 0.08, "grade_numeric": 0.025,
              "emp_length_years": -0.004}
-SHORT = ["int_rate", "dti", "annual_inc", "loan_amnt", "revol_util", "grade_numeric", "delinq_2yrs", "open_acc"]
 
 
 def frames(spark, sf_dir, features=tuple(S.MODEL_FEATURES)):
@@ -33,7 +30,7 @@ def _train(name):
     """Test-set metrics of one model."""
     def run(spark, sf_dir):
         train, test, used = frames(spark, sf_dir)
-        model = models.train(name, train, used, **QUICK.get(name, {}))
+        model = models.train(name, train, used)
         scored = models.predict_pd(model, test).withColumn("model", F.lit(name))
         return rounded(metrics.all_metrics(scored))
     return run
@@ -41,8 +38,7 @@ def _train(name):
 
 def train_all(spark, sf_dir):
     train, test, used = frames(spark, sf_dir)
-    names = ["LogisticRegression", "DecisionTree", "NaiveBayes", "WeightedBoosting"]
-    return models.train_all(train, test, used, names=names, params=QUICK)[0]
+    return models.train_all(train, test, used)[0]
 
 
 def train_all_undersampled(spark, sf_dir):
@@ -63,13 +59,13 @@ def save_model(spark, sf_dir):
     """Predictions of a model that was saved and loaded again."""
     train, test, used = frames(spark, sf_dir)
     path = scratch_path(spark, "model")
-    models.save_model(models.train("DecisionTree", train, used, maxDepth=5), path)
+    models.save_model(models.train("DecisionTree", train, used), path)
     return models.predict_pd(models.load_model(path), test).select(S.KEY, S.TARGET, "predicted_pd")
 
 
 def predict_pd(spark, sf_dir):
     train, test, used = frames(spark, sf_dir)
-    model = models.train("LogisticRegression", train, used, **QUICK["LogisticRegression"])
+    model = models.train("LogisticRegression", train, used)
     return models.predict_pd(model, test).select(S.KEY, S.TARGET, "predicted_pd")
 
 
@@ -85,8 +81,8 @@ def tune_gbt(spark, sf_dir):
 
 def calibrate_isotonic(spark, sf_dir):
     train, test, used = frames(spark, sf_dir)
-    raw = models.train("DecisionTree", train, used, maxDepth=5)
-    calibrated = models.calibrate_isotonic("DecisionTree", train, used, maxDepth=5)
+    raw = models.train("DecisionTree", train, used)
+    calibrated = models.calibrate_isotonic("DecisionTree", train, used)
     path = scratch_path(spark, "calibrated")
     models.save_model(calibrated, path)
     both = models.predict_pd(models.load_model(path, calibrated=True), models.predict_pd(raw, test, "raw_pd"))
@@ -95,7 +91,7 @@ def calibrate_isotonic(spark, sf_dir):
 
 def served_model(spark, sf_dir):
     train, _, used = frames(spark, sf_dir)
-    return models.train("LogisticRegression", train, used, **QUICK["LogisticRegression"]), used
+    return models.train("LogisticRegression", train, used), used
 
 
 def _flat(responses):
@@ -104,7 +100,7 @@ def _flat(responses):
 
 def predict_batch(spark, sf_dir):
     model, used = served_model(spark, sf_dir)
-    return _flat(prediction.predict_batch(model, applications_of(spark, sf_dir), used)[0])
+    return _flat(prediction.predict_batch(model, applications_of(spark, sf_dir), used, VERSION)[0])
 
 
 def score_stream(spark, sf_dir):
@@ -112,7 +108,7 @@ def score_stream(spark, sf_dir):
     source, out = scratch_path(spark, "applications"), scratch_path(spark, "stream")
     applications_of(spark, sf_dir).repartition(4).write.parquet(source)
     query = stream.score_stream(model, stream.read_applications(spark, source, 1), out,
-                                scratch_path(spark, "stream-state"), used)
+                                scratch_path(spark, "stream-state"), used, VERSION)
     query.awaitTermination()
     return _flat(stream.read_scored(spark, out).drop("batch"))
 
@@ -126,8 +122,8 @@ def select_features(spark, sf_dir):
 
 
 def permutation_importance(spark, sf_dir):
-    loans = settle(feature_loans(spark, sf_dir).select(S.KEY, S.TARGET, *SHORT))
-    return explain.permutation_importance(loans, SHORT, repeats=2, numTrees=20, maxDepth=8)
+    train, _, used = frames(spark, sf_dir)
+    return explain.permutation_importance(train, used)
 
 
 def _phi(spark, sf_dir):
@@ -135,15 +131,15 @@ def _phi(spark, sf_dir):
 
 
 def shapley_values(spark, sf_dir):
-    train, test, used = frames(spark, sf_dir, SHORT)
-    model = models.train("DecisionTree", train, used, maxDepth=5)
-    return explain.shapley_values(model, train.unionByName(test), used, permutations=2)
+    train, test, used = frames(spark, sf_dir)
+    model = models.train("DecisionTree", train, used)
+    return explain.shapley_values(model, train.unionByName(test), used)
 
 
 def local_surrogate(spark, sf_dir):
-    train, test, used = frames(spark, sf_dir, SHORT)
-    model = models.train("LogisticRegression", train, used, **QUICK["LogisticRegression"])
-    return explain.local_surrogate(model, train.unionByName(test), used, samples=50, top=5)
+    train, test, used = frames(spark, sf_dir)
+    model = models.train("LogisticRegression", train, used)
+    return explain.local_surrogate(model, train.unionByName(test), used)
 
 
 def business_explanation(spark, sf_dir):

@@ -8,16 +8,13 @@ from creditmill.operators import anomalies, neighbors, preprocess, sampling
 
 @pytest.fixture(scope="module")
 def loans(spark):
-    rng = np.random.default_rng(42)
-    n = 100
-    income = [None] * 10 + list(rng.uniform(20000, 200000, n - 10))
-    grade = [None] * 5 + list(rng.choice(list("ABCD"), n - 5))
-    rows = list(zip(range(n), rng.uniform(1000, 40000, n).tolist(), [None if x is None else float(x) for x in income],
-                    rng.uniform(0, 40, n).tolist(), [None if g is None else str(g) for g in grade],
-                    rng.choice(["credit_card", "debt_consolidation", "home"], n).tolist(),
-                    [int(x) for x in rng.choice([0, 1], n, p=[.8, .2])]))
-    return spark.createDataFrame(rows, "loan_id long, loan_amnt double, annual_inc double, dti double, grade string, "
-                                       "purpose string, is_default int").persist()
+    """130 rows by rule: every ninth income and every 26th grade unknown, every fourth loan in default."""
+    def row(i):
+        return (i, 2500.0 + 137 * i % 21000, None if i % 9 == 0 else 30000.0 + 911 * i % 90000, 3.0 + 7 * i % 31,
+                None if i % 26 == 7 else "ABCDE"[i * i % 5], ("car", "medical", "wedding", "home")[i // 3 % 4], int(i % 4 == 1))
+
+    return spark.createDataFrame([row(i) for i in range(130)], "loan_id long, loan_amnt double, annual_inc double, dti double, "
+                                                               "grade string, purpose string, is_default int").persist()
 
 
 def test_drops_only_above_threshold(loans):
@@ -107,14 +104,16 @@ def test_neighbors_equal_brute_force(spark, monkeypatch, block):
     assert found == brute(pts, pts, 4)
 
 
-def test_knn_imputer_equals_brute_force(spark):
+@pytest.mark.parametrize("width,unknown,patterns", [(4, 0.15, 4), (7, 0.4, 64)])
+def test_knn_imputer_equals_brute_force(spark, width, unknown, patterns):
     rng = np.random.default_rng(5)
-    x = rng.normal(0, 1, (150, 4)).round(2)
-    x[rng.random(x.shape) < 0.15] = np.nan
+    x = rng.normal(0, 1, (150, width)).round(2)
+    x[rng.random(x.shape) < unknown] = np.nan
     x[0] = np.nan
-    columns = list("abcd")
+    assert len({tuple(r) for r in np.isnan(x)}) >= patterns
+    columns = list("abcdefg"[:width])
     rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
-    df = spark.createDataFrame(rows, "loan_id long, a double, b double, c double, d double")
+    df = spark.createDataFrame(rows, "loan_id long, " + ", ".join(f"{c} double" for c in columns))
     got = neighbors.impute_knn(df, k=5).orderBy("loan_id").toPandas()[columns].to_numpy()
     expected = x.copy()
     for i, j in zip(*np.where(np.isnan(x))):
@@ -123,7 +122,7 @@ def test_knn_imputer_equals_brute_force(spark):
             both = ~np.isnan(x[i]) & ~np.isnan(x[m])
             if not np.isnan(x[m, j]) and both.any():
                 gap = round(float(np.sqrt(((x[i] - x[m])[both] ** 2).sum())), 9)
-                near.append((round(gap * np.sqrt(4 / both.sum()), 9), m))
+                near.append((round(gap * np.sqrt(width / both.sum()), 9), m))
         near = [m for _, m in sorted(near)[:5]]
         expected[i, j] = x[near, j].mean() if near else np.nanmean(x[:, j])
     np.testing.assert_allclose(got, expected, atol=1e-9)
@@ -136,7 +135,7 @@ def test_oversampling_stays_between_parents(loans, method):
     out = method(ready, columns).toPandas()
     made = out[out["base"].notna()]
     old = out[out["base"].isna()].set_index("loan_id")
-    assert len(old) == 100 and (made["is_default"] == 1).all() and (made["loan_id"] < 0).all()
+    assert len(old) == 130 and (made["is_default"] == 1).all() and (made["loan_id"] < 0).all()
     if method is neighbors.smote:
         assert (out["is_default"] == 1).sum() == (out["is_default"] == 0).sum()
     for _, r in made.iterrows():
@@ -164,6 +163,6 @@ def test_split_folds_and_weights(loans):
         sizes = [r["count"] for r in folds if r["is_default"] == g]
         assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
     weights = {r["is_default"]: r["weight"] for r in sampling.class_weights(loans).collect()}
-    assert weights[1] == pytest.approx(100 / (2 * counts[1]))
+    assert weights[1] == pytest.approx(130 / (2 * counts[1]))
     assert sampling.class_weights(loans, resampled=True).filter("weight <> 1").count() == 0
     assert set(sampling.class_counts(sampling.undersample(loans)).values()) == {min(counts.values())}
