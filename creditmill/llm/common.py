@@ -70,6 +70,20 @@ def with_least(rows: DataFrame, keys: list[str], spread: str, **values: Column)
     return cut.join(told, [*keys, "_part"]).drop("_part")
 
 
+def meet(many: DataFrame, few: DataFrame, on: list[str], bound: int) -> DataFrame:
+    """Inner join of rows that may share a hot key with a table of unique keys.
+
+    Up to `bound` rows the table is broadcast. Beyond that each key is told first to the parts its rows are cut into, once
+    each, and the rows meet it there.
+    """
+    if few.count() <= bound:
+        return many.join(F.broadcast(few), on)
+    parts = shuffle_width(many.sparkSession)
+    cut = many.withColumn("_part", F.pmod(F.xxhash64(*many.columns), F.lit(parts)).cast("int"))
+    told = cut.select(*on, "_part").distinct().join(few, on)
+    return cut.join(told, [*on, "_part"]).drop("_part")
+
+
 def shards_for(copies: str | Column, per: int) -> Column:
     """Into how many shards a key with so many rows is cut."""
     return F.greatest(F.lit(1), F.ceil((F.col(copies) if isinstance(copies, str) else copies) / F.lit(per))).cast("int")

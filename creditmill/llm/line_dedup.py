@@ -13,18 +13,19 @@ one half of a line untouched, so near lines share the hash of a half.
 """
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.llm.common import per_worker, rows_to_arrow, shard_join, shards_for, with_least
+from creditmill.llm.common import meet, per_worker, rows_to_arrow, shard_join, shards_for
 from creditmill.llm.jaccard_join import WordHash
 from creditmill.session import settle, shuffle_width
 
 NEAR_WORDS = 8  # shorter lines are duplicates only when equal
-BROADCAST_DOCS = 500_000  # documents whose line numbers are broadcast; more are joined by shuffling
+BROADCAST_ROWS = 500_000  # documents, lines or hashes of halves that are broadcast; more are joined by shuffling
 _ODD, _TAG, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9  # odd multipliers
 _INVERSE = pow(_ODD, -1, 1 << 64)
 PLACE = ["no_id", "doc_id", "tid", "line"]  # the order of lines: null ids last
@@ -66,13 +67,6 @@ class LineHash:
         value = (int(self.sums[j]) - int(self.sums[i])) * int(self.powers.down[i])
         return (value + tag * _TAG) & 0xFFFFFFFFFFFFFFFF
 
-    def halves(self) -> np.ndarray:
-        """Hashes of both halves, as a line of this length and as the longer partner of one with a word less."""
-        n, out = self.n, []
-        for m in (n, n - 1):
-            out += [self._part(0, m // 2, 2 * m), self._part(n - (m - m // 2), n, 2 * m + 1)]
-        return _scrambled(np.array(out, np.uint64)).view(np.int64)
-
     def whole(self) -> int:
         return int(_scrambled(np.array([self._part(0, self.n, 2 * self.n)], np.uint64)).view(np.int64)[0])
 
@@ -83,6 +77,22 @@ class LineHash:
         return _scrambled(self.sums[:-1] + rest + tag).view(np.int64)
 
 
+def halves(lines: list[list[bytes]], hashes: dict, powers: Powers) -> np.ndarray:
+    """For each line the hashes of its two halves, and of those it has as the longer partner of a line with a word less."""
+    n = np.array([len(x) for x in lines])
+    end = np.cumsum(n)
+    start, total = end - n, int(end[-1])
+    up, down = powers.upto(total).up, powers.down
+    h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(lines)), np.uint64, total)
+    sums = np.zeros(total + 1, np.uint64)
+    np.cumsum(h * up[:total], out=sums[1:])
+    out = []
+    for m in (n, n - 1):
+        for a, b, side in ((start, start + m // 2, 0), (end - (m - m // 2), end, 1)):
+            out.append((sums[b] - sums[a]) * down[a] + (2 * m + side).astype(np.uint64) * np.uint64(_TAG))
+    return _scrambled(np.stack(out, axis=1)).view(np.int64)
+
+
 def near(a: list[bytes], b: list[bytes]) -> bool:
     """Whether at most one word inserted, deleted or replaced turns a into b."""
     if len(a) > len(b):
@@ -106,11 +116,11 @@ def _lines(docs: DataFrame, near_words: int) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
                 for doc_id, tid, text in zip(*(c.to_pylist() for c in part.columns)):
-                    for k, line in enumerate((text or "").encode().split(b"\n")):
-                        words = line.split()
-                        if words:
-                            halves = LineHash(words, hashes, powers).halves() if len(words) >= near_words else None
-                            rows.append((doc_id, tid, k, xxhash.xxh3_128_digest(line), halves))
+                    lines = (text or "").encode().split(b"\n")
+                    words = [x.split() for x in lines]
+                    long = [k for k, w in enumerate(words) if len(w) >= near_words]
+                    of = dict(zip(long, halves([words[k] for k in long], hashes, powers))) if long else {}
+                    rows += [(doc_id, tid, k, xxhash.xxh3_128_digest(lines[k]), of.get(k)) for k, w in enumerate(words) if w]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), out.types)], schema=out)
 
@@ -121,20 +131,21 @@ def _lines(docs: DataFrame, near_words: int) -> DataFrame:
 def _with_numbers(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The documents that `wanted` (doc_id, tid, ...) names, one row each, with its other columns."""
     few = wanted.withColumnRenamed("doc_id", "_d").withColumnRenamed("tid", "_t")
-    if wanted.count() <= BROADCAST_DOCS:
+    if wanted.count() <= BROADCAST_ROWS:
         few = F.broadcast(few)
     return docs.join(few, docs["doc_id"].eqNullSafe(F.col("_d")) & (docs["tid"] == F.col("_t"))).drop("_d", "_t")
 
 
 def _numbered(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """Text and number of the lines that share a half with another line; numbers rise in the order of the lines."""
-    halves = first.filter("halves is not null").select(*PLACE, "key", F.explode("halves").alias("half"))
-    # a half shared by two different lines has two different digests
-    both = with_least(halves, ["half"], "key", low=F.col("key"))
-    others = both.filter("key <> low").select("half", *PLACE)
-    shared = others.select("half").distinct()
-    lows = both.filter("key = low").select("half", *PLACE).join(shared, "half", "left_semi")
-    lines = others.union(lows).select(*PLACE).distinct()
+    """Text and number of the lines that share a half with another line; numbers rise in the order of the lines.
+
+    `first` holds each distinct line once, by a number `row`.
+    """
+    entries = first.filter("halves is not null").select("row", F.explode(F.array_distinct("halves")).alias("half"))
+    shared = settle(entries.groupBy("half").agg(F.min("row").alias("low"), F.max("row").alias("high"))
+                    .filter("low <> high").select("half"))
+    rows = meet(entries, shared, ["half"], BROADCAST_ROWS).select("row").distinct()
+    lines = first.join(rows, "row", "left_semi").select(*PLACE)
     by_doc = settle(lines.groupBy("doc_id", "tid").agg(F.sort_array(F.collect_list("line")).alias("lines")))
     texts = _with_numbers(docs, by_doc).dropDuplicates(["doc_id", "tid"]).select("doc_id", "tid", F.posexplode(
         F.transform("lines", lambda i: F.struct(i.alias("line"), F.element_at(F.split("text", "\n", -1), i + 1).alias("words"))))
@@ -157,12 +168,16 @@ def _near_pairs(lines: DataFrame) -> DataFrame:
     hashed = rows_to_arrow(lines.select("no", "words"), "no bigint, whole bigint, variants array<bigint>", make)
     keys = settle(hashed.select("no", F.posexplode("variants").alias("at", "variant"))
                   .union(hashed.select("no", F.lit(-1), "whole")))
-    cut = F.col("at") >= 0
-    replaced = with_least(keys.filter(cut), ["variant", "at"], "no", earlier=F.col("no")).select("no", "earlier")
-    moved = with_least(keys, ["variant"], "no", whole=F.when(~cut, F.col("no")), shorter=F.when(cut, F.col("no")))
-    told = moved.select("no", F.col("whole").alias("earlier")).union(
-        moved.filter(~cut).select("no", F.col("shorter").alias("earlier")))
-    return replaced.union(told).filter("earlier < no").distinct()
+    cut, whole = keys.filter("at >= 0"), keys.filter("at < 0").drop("at")
+    first = F.min("no").alias("earlier")
+    # most keys are one line's alone: those that several lines share are few, and only they are met
+    same = settle(cut.groupBy("variant", "at").agg(first, F.max("no").alias("last")).filter("earlier < last").drop("last"))
+    replaced = meet(cut, same, ["variant", "at"], BROADCAST_ROWS).select("no", "earlier")
+    words = settle(whole.groupBy("variant").agg(first))
+    spaced = meet(whole, words, ["variant"], BROADCAST_ROWS).select("no", "earlier")
+    met = settle(meet(cut, words, ["variant"], BROADCAST_ROWS).select("no", "earlier"))  # a line, and one with a word less
+    shorter = met.groupBy("earlier").agg(F.min("no").alias("no")).select(F.col("earlier").alias("no"), F.col("no").alias("earlier"))
+    return replaced.union(spaced).union(met).union(shorter).filter("earlier < no").distinct()
 
 
 def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -181,10 +196,12 @@ def dropped_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     lines = settle(_lines(docs, near_words))
     place = F.struct(*PLACE)
     # rows that repeat a document's id and text are one document
-    marked = settle(with_least(lines, ["key"], "tid", first=place).withColumn("is_first", place == F.col("first")).drop("first"))
-    numbered = _numbered(docs, marked.filter("is_first").dropDuplicates(PLACE))
+    first = settle(lines.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
+                   .select("key", "first", "n", "halves", F.monotonically_increasing_id().alias("row")))
+    again = meet(lines.drop("halves"), first.filter("n > 1").select("key", "first"), ["key"], BROADCAST_ROWS).filter(place != F.col("first"))
+    numbered = _numbered(docs, first.select("first.*", "halves", "row"))
     gone = _verified(_near_pairs(numbered), numbered).join(numbered.drop("words"), "no")
-    told = (marked.filter("not is_first").select("doc_id", "tid", "line", F.lit(0).alias("near"))
+    told = (again.select("doc_id", "tid", "line", F.lit(0).alias("near"))
             .union(gone.select("doc_id", "tid", "line", F.lit(1))).distinct())
     return settle(told.groupBy("doc_id", "tid").agg(F.sort_array(F.collect_list("line")).alias("lines"),
                                                     F.sum(1 - F.col("near")).alias("n_exact"), F.sum("near").alias("n_near")))
@@ -203,7 +220,7 @@ def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS, text: str = "text
                        F.col(text).cast("string").alias("text")).withColumn("tid", F.xxhash64("text"))
     plan = dropped_lines(rows.drop("_doc"), near_words)
     few = plan.withColumnRenamed("doc_id", "_d").withColumnRenamed("tid", "_t")
-    if plan.count() <= BROADCAST_DOCS:
+    if plan.count() <= BROADCAST_ROWS:
         few = F.broadcast(few)
     told = rows.join(few, rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["tid"] == F.col("_t")), "left")
     split = F.split("text", "\n", -1)
