@@ -12,6 +12,16 @@ from creditmill.llm.common import with_least
 from creditmill.session import settle
 
 
+BROADCAST_EDGES = 1_000_000  # 16 bytes each; up to so many edges the smallest neighbours are broadcast
+
+
+def _least_around(rows: DataFrame, n_edges: int) -> DataFrame:
+    """Rows (u, v) with m, the smallest v of their u."""
+    if n_edges > BROADCAST_EDGES:
+        return with_least(rows, ["u"], "v", m=F.col("v"))
+    return rows.join(F.broadcast(rows.groupBy("u").agg(F.min("v").alias("m"))), "u")
+
+
 def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
@@ -22,9 +32,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     seen = _checksum(state)
     while seen[0]:
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (with_least(both, ["u"], "v", m=F.col("v")).filter("v > u")
+        large = (_least_around(both, seen[0]).filter("v > u")
                  .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
-        small = with_least(large, ["u"], "v", m=F.col("v"))
+        small = _least_around(large, seen[0])
         hung = (small.select("u", F.col("m").alias("v")).union(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
                 .distinct())
         state = settle(hung)

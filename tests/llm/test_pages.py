@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from creditmill.llm import components as components_module
 from creditmill.llm import url_filter, warc
 from creditmill.llm.components import components
 
@@ -100,7 +101,9 @@ def test_blocks_reach_aliases(spark, pages):
     assert alone[10] == "block"
 
 
-def test_components(spark):
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_components(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(components_module, "BROADCAST_EDGES", broadcast)
     rng = random.Random(4)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
     edges += [(1000, i) for i in range(1001, 1400)] + [(i, i + 1) for i in range(2000, 2060)] + [(7, 7), (3000, 3000)]
