@@ -30,7 +30,7 @@ from creditmill.session import settle, shuffle_width
 
 SHINGLE = 5
 PERCENT = 75  # similarity from which sets are linked
-BITMAP = 1024  # bits
+BITMAP = 512, 1 << 16  # least and most bits of a bitmap; in between it has twice the set's size, rounded up to a power of two
 WORDS_HELD = 500_000
 CODES_HELD = 4_000_000  # shingles counted at a time in a task
 FREQUENT = 8  # counted documents from which a shingle comes last in the order
@@ -73,8 +73,33 @@ def shingle_set(text: str, hashes: dict, size: int = SHINGLE) -> np.ndarray:
 
 def bitmap(codes: np.ndarray) -> bytes:
     """Bit i: whether an odd number of codes hash to i. Two sets differ in at least as many codes as their bitmaps in bits."""
-    odd = np.bincount((codes >> np.uint64(40)).astype(np.int64) % BITMAP, minlength=BITMAP) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    width = min(max(BITMAP[0], 1 << (2 * len(codes) - 1).bit_length()), BITMAP[1])
+    odd = np.bincount((codes >> np.uint64(40)).astype(np.int64) % width, minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """The bitmap that the set would have with `size` bytes, a power of two and at most its own size."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def bits_apart(i: np.ndarray, j: np.ndarray, bits: list[bytes]) -> np.ndarray:
+    """In how many bits the bitmaps of each pair differ, at the smaller of the two sizes."""
+    size = np.array([len(b) for b in bits])
+    common, out = np.minimum(size[i], size[j]), np.zeros(len(i), np.int64)
+    for s in np.unique(common):
+        at = np.flatnonzero(common == s)
+        used, where = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        rows = np.stack([folded(bits[k], int(s)) for k in used])
+        left, right = where[:len(at)], where[len(at):]
+        for k in range(0, len(at), 4096):
+            out[at[k:k + 4096]] = np.bitwise_count(rows[left[k:k + 4096]] ^ rows[right[k:k + 4096]]).sum(axis=1)
+    return out
+
+
+def may_link(apart: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Overlap of t or more of the union means that sets differ in at most (1 - t) / (1 + t) of their total size."""
+    return apart * (100 + percent) <= total * (100 - percent)
 
 
 def least_overlap(n: int, percent: int = PERCENT) -> int:
@@ -156,11 +181,12 @@ def choose_boundary(rows: DataFrame, repeats: float, percent: int = PERCENT) ->
 
 
 def list_keys(codes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], boundary: int, percent: int = PERCENT,
-              ) -> tuple[np.ndarray, np.ndarray]:
-    """Keys under which a set is listed, and into how many parts each key's list is cut."""
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys under which a set is listed, into how many parts each key's list is cut, and how many of the set's shingles come
+    before: were the key the first one that two sets share, none of those would be in the other set."""
     n = len(codes)
     if n < 2:  # a set of one shingle is linked with equal sets only
-        return np.array([], np.uint64), np.array([], np.int32)
+        return np.array([], np.uint64), np.array([], np.int32), np.array([], np.int32)
     listed, counts = frequent
     parts = np.zeros(n, np.int32)
     if len(listed):
@@ -169,20 +195,23 @@ def list_keys(codes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], bounda
     first = n - least_overlap(n, percent) + 1
     order = np.argsort(parts > 0, kind="stable")[:first + 1]
     codes, parts = codes[order], np.maximum(parts[order], 1)
-    keys, cut = [], []
+    keys, cut, before = [], [], []
     if n > boundary or n >= least_overlap(boundary + 1, percent):
         keys.append(codes[:first])
         cut.append(parts[:first])
+        before.append(np.arange(first, dtype=np.int32))
     if n <= boundary:
         i, j = np.triu_indices(first + 1, 1)
         low, high = np.minimum(codes[i], codes[j]), np.maximum(codes[i], codes[j])
         keys.append(_scrambled(low * _ODD + high))
         cut.append(np.minimum(parts[i], parts[j]))
-    return np.concatenate(keys), np.concatenate(cut)
+        before.append((j - 1).astype(np.int32))  # all before the second but the first
+    return np.concatenate(keys), np.concatenate(cut), np.concatenate(before)
 
 
 def _listed(docs: DataFrame, frequent, boundary: int, percent: int) -> DataFrame:
-    out = pa.schema([("set_key", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("parts", pa.list_(pa.int32()))])
+    out = pa.schema([("set_key", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("parts", pa.list_(pa.int32())),
+                     ("before", pa.list_(pa.int32()))])
 
     def make():
         told, seen = frequent.value, set()
@@ -191,12 +220,12 @@ def _listed(docs: DataFrame, frequent, boundary: int, percent: int) -> DataFrame
             if len(codes) < 2 or (key := _digest(codes)) in seen:
                 return None
             seen.add(key)
-            keys, parts = list_keys(codes, told, boundary, percent)
-            return key, len(codes), keys.view(np.int64), parts
+            keys, parts, before = list_keys(codes, told, boundary, percent)
+            return key, len(codes), keys.view(np.int64), parts, before
 
         return row
 
-    return docs.mapInArrow(_per_document(make, out), "set_key binary, n int, keys array<bigint>, parts array<int>")
+    return docs.mapInArrow(_per_document(make, out), "set_key binary, n int, keys array<bigint>, parts array<int>, before array<int>")
 
 
 def _groups(batches: Iterable[pa.RecordBatch], by: int) -> Iterator[list[np.ndarray]]:
@@ -226,16 +255,38 @@ def _starts(cols: list[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep the lists with several classes; columns key, part, cls, parts, n, sorted by the first three."""
-    for cols in _groups(batches, 2):
-        once = _starts(cols[:3])  # copies of a class in several tasks
-        cols = [c[once] for c in cols]
-        starts = _starts(cols[:2])
-        size = np.diff(np.append(starts, len(cols[0])))
-        keep = np.repeat(size > 1, size) | (cols[3] > 1)
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], ["key", "part", "cls", "parts", "n"])
+def _shared(percent: int) -> Callable:
+    """Keep the lists' classes that may be linked with another one there; columns key, part, cls, parts, n, before, sorted by
+    the first three.
+
+    A linked pair need only be found under the first key it shares, where what comes before is in one set alone: too much
+    before it, or too unlike sizes, and the two are no pair of this list.
+    """
+    def possible(n, m, before, before_m):
+        total = n.astype(np.int64) + m
+        return (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & may_link(before.astype(np.int64) + before_m, total, percent)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in _groups(batches, 2):
+            once = _starts(cols[:3])  # copies of a class in several tasks
+            cols = [c[once] for c in cols]
+            starts = _starts(cols[:2])
+            size = np.diff(np.append(starts, len(cols[0])))
+            n, before, keep = cols[4], cols[5], cols[3] > 1  # of a list that is cut into parts only some is seen here
+            two = starts[(size == 2) & ~keep[starts]]
+            keep[two] = keep[two + 1] = possible(n[two], n[two + 1], before[two], before[two + 1])
+            for s, k in zip(starts, size):
+                if k > 2 and not keep[s]:
+                    e = s + k
+                    for at in range(s, e, 256):
+                        a = slice(at, min(at + 256, e))
+                        met = possible(n[a, None], n[None, s:e], before[a, None], before[None, s:e])
+                        met[np.arange(len(met)), np.arange(at - s, at - s + len(met))] = False
+                        keep[a] = met.any(axis=1)
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols[:5]], ["key", "part", "cls", "parts", "n"])
+
+    return run
 
 
 def _similar_size(a: Column, b: Column, percent: int) -> Column:
@@ -251,7 +302,6 @@ def _across(nearest: bool, percent: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in _groups(batches, 3):
             _, low, high, part, cls, n, label, bits = cols
-            bits = np.frombuffer(b"".join(bits), np.uint64).reshape(len(cls), -1)
             starts = _starts(cols[:3])
             left, right = [], []
             for s, e in zip(starts, np.append(starts[1:], len(cls))):
@@ -269,10 +319,8 @@ def _across(nearest: bool, percent: int) -> Callable:
                     if not len(i):
                         continue
                     i, j = a[i], s + j
-                    apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1).astype(np.int64)
-                    total = n[i].astype(np.int64) + n[j]
-                    # overlap o >= t union means the sets differ in at most (1 - t) / (1 + t) of their total size
-                    fine = apart * (100 + percent) <= total * (100 - percent)
+                    apart = bits_apart(i - s, j - s, bits[s:e].tolist())
+                    fine = may_link(apart, n[i].astype(np.int64) + n[j], percent)
                     i, j, apart = i[fine], j[fine], apart[fine]
                     if nearest and len(i):
                         order = np.lexsort((cls[j], apart, i))
@@ -287,6 +335,18 @@ def _across(nearest: bool, percent: int) -> Callable:
     return run
 
 
+def _possible(percent: int) -> Callable:
+    """Pairs that the bitmaps don't rule out; columns a, b, n_a, n_b, bits_a, bits_b."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.num_rows
+            apart = bits_apart(np.arange(k), np.arange(k, 2 * k), batch.column(4).to_pylist() + batch.column(5).to_pylist())
+            keep = may_link(apart, batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy(), percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+
+    return run
+
+
 def _linked(percent: int) -> Callable:
     """Pairs whose whole sets are similar enough; columns a, b, codes_a, codes_b."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,11 +395,11 @@ class Join:
         total = self.rows.agg(F.sum("n")).first()[0] or 1
         boundary = choose_boundary(self.rows, float(rare) / float(total), self.percent)
         entries = (_listed(self.docs, frequent, boundary, self.percent)
-                   .select(self.cls.alias("cls"), "n", F.explode(F.arrays_zip("keys", "parts")).alias("e"))
+                   .select(self.cls.alias("cls"), "n", F.explode(F.arrays_zip("keys", "parts", "before")).alias("e"))
                    .select(F.col("e.keys").alias("key"), F.pmod(F.col("cls"), F.col("e.parts")).cast("int").alias("part"), "cls",
-                           F.col("e.parts").alias("parts"), "n"))
+                           F.col("e.parts").alias("parts"), "n", F.col("e.before").alias("before")))
         return settle(entries.repartition(shuffle_width(self.spark), "key", "part").sortWithinPartitions("key", "part", "cls")
-                      .mapInArrow(_shared, "key bigint, part int, cls bigint, parts int, n int"))
+                      .mapInArrow(_shared(self.percent), "key bigint, part int, cls bigint, parts int, n int"))
 
     def leaders(self, lists: DataFrame) -> DataFrame:
         """Pairs of each class with three leaders of each list (part), chosen by hash."""
@@ -349,13 +409,9 @@ class Join:
                .select("cls", "n", F.explode(F.array("l0", "l1", "l2")).alias("l"))
                .filter((F.col("cls") != F.col("l.lead")) & _similar_size(F.col("n"), F.col("l.m"), self.percent)))
         pairs = settle(met.select(F.least("cls", "l.lead").alias("a"), F.greatest("cls", "l.lead").alias("b")).distinct())
-        words = [F.substring(F.col("bits"), 1 + 8 * i, 8) for i in range(BITMAP // 64)]
-        sides = {s: self.classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.array(
-            *[F.conv(F.hex(w), 16, -10).cast("bigint") for w in words]).alias(f"bits_{s}")) for s in "ab"}
-        both = self._attach(self._attach(pairs, sides["a"], "a"), sides["b"], "b")
-        apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        near = apart * (100 + self.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.percent)
-        return both.filter(near).select("a", "b")
+        a, b = (self.classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
+        both = self._attach(self._attach(pairs, a, "a"), b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        return both.mapInArrow(_possible(self.percent), "a bigint, b bigint")
 
     def _attach(self, pairs: DataFrame, table: DataFrame, side: str) -> DataFrame:
         """Join a table of classes to one side of the pairs; a class in very many pairs is cut into shards."""
@@ -378,6 +434,8 @@ class Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links, by their whole sets, which are made again from the texts of just these documents."""
         pairs = settle(pairs)
+        if not pairs.limit(1).count():
+            return pairs
         wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
                         .join(self.classes.select("cls", "doc_id"), "cls"))
         ids = wanted.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")).distinct()
@@ -385,10 +443,9 @@ class Join:
             ids = F.broadcast(ids)
         texts = (self.docs.join(ids, F.coalesce(F.col("doc_id").cast("string"), F.lit("")) == F.col("_id"), "left_semi"))
         out = pa.schema([("set_key", pa.binary()), ("codes", pa.binary())])
-        sets = (texts.mapInArrow(_per_document(lambda: lambda _, c: (_digest(c), c.tobytes()) if len(c) else None, out),
-                                 "set_key binary, codes binary")
-                .select(self.cls.alias("cls"), "codes").dropDuplicates(["cls"]))
-        sets = settle(sets.join(wanted.select("cls"), "cls", "left_semi"))
+        # an id that several rows share may bring sets that no pair asks for, or one twice: neither changes the links
+        sets = settle(texts.mapInArrow(_per_document(lambda: lambda _, c: (_digest(c), c.tobytes()) if len(c) else None, out),
+                                       "set_key binary, codes binary").select(self.cls.alias("cls"), "codes"))
         a, b = (sets.select(F.col("cls").alias(s), F.col("codes").alias(f"codes_{s}")) for s in "ab")
         both = self._attach(self._attach(pairs, a, "a"), b, "b").select("a", "b", "codes_a", "codes_b")
         return settle(both.mapInArrow(_linked(self.percent), "a bigint, b bigint"))
@@ -397,10 +454,14 @@ class Join:
         """(cls, component) of every class that is linked with another."""
         lists = self.lists()
         links = self.verified(self.leaders(lists))
+        labels = settle(components(links))
         for nearest in (True, False):
-            labels = settle(components(links))
-            links = links.union(self.verified(self.across(lists, labels, nearest)))
-        return components(links).select(F.col("node").alias("cls"), "component")
+            more = self.verified(self.across(lists, labels, nearest))
+            if more.limit(1).count():
+                # a component is a star, so its labels stand for all links so far
+                links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
+                labels = settle(components(links))
+        return labels.select(F.col("node").alias("cls"), "component")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
