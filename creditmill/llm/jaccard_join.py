@@ -30,7 +30,7 @@ from creditmill.session import settle, shuffle_width
 
 SHINGLE = 5
 PERCENT = 75  # similarity from which sets are linked
-BITMAP = 512, 1 << 16  # least and most bits of a bitmap; in between it has twice the set's size, rounded up to a power of two
+BITMAP = 256, 1 << 16  # least and most bits of a bitmap; in between it has the set's size, rounded up to a power of two
 WORDS_HELD = 500_000
 CODES_HELD = 4_000_000  # shingles counted at a time in a task
 FREQUENT = 8  # counted documents from which a shingle comes last in the order
@@ -73,7 +73,7 @@ def shingle_set(text: str, hashes: dict, size: int = SHINGLE) -> np.ndarray:
 
 def bitmap(codes: np.ndarray) -> bytes:
     """Bit i: whether an odd number of codes hash to i. Two sets differ in at least as many codes as their bitmaps in bits."""
-    width = min(max(BITMAP[0], 1 << (2 * len(codes) - 1).bit_length()), BITMAP[1])
+    width = min(max(BITMAP[0], 1 << (len(codes) - 1).bit_length()), BITMAP[1])
     odd = np.bincount((codes >> np.uint64(40)).astype(np.int64) % width, minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
