@@ -1,7 +1,8 @@
 """Near-duplicate lines by a deletion-neighbourhood join.
 
-Lines are sequences of words, and two are near when one word inserted, deleted or replaced turns one into the other. Each
-line emits itself and all variants with one word deleted as hashed keys. Two lines are near exactly when
+Lines are sequences of words, and two are near when one word inserted, deleted or replaced turns one into the other; `edits`
+may allow more for longer lines. For one edit each line emits itself and all variants with one word deleted as hashed keys.
+Two lines are within one edit exactly when
 
 * they give the same variant by deleting at the same place (a replaced word), or
 * a variant of one is the other (a word more), or both have the same words (white space differs).
@@ -10,6 +11,10 @@ So a key needs no pairs among its lines: of all lines with the same variant and
 The edit distance to that earliest line is verified on the words, and a line that has an earlier near line is dropped. Equal
 lines are dropped first. Before any variant is made, lines without a partner are set aside losslessly: a single edit leaves
 one half of a line untouched, so near lines share the hash of a half.
+
+Lines whose bound is two edits or more also meet by pieces: k edits leave one of the k + 1 pieces of the shorter line
+untouched, and it lies in the longer line at one of a few places that the edits before and after it allow. Every pair that
+shares such a piece is verified, so a piece that very many lines share costs pairs.
 """
 
 from collections.abc import Iterable, Iterator
@@ -25,9 +30,12 @@ from creditmill.llm.jaccard_join import WordHash
 from creditmill.session import settle, shuffle_width
 
 NEAR_WORDS = 8  # shorter lines are duplicates only when equal
+EDITS = ((0, 1),)  # (words, edits): from so many words on, lines within so many edits are near
+EDITS_BY_LENGTH = ((0, 1), (25, 2), (60, 3))
 BROADCAST_ROWS = 500_000  # documents, lines or hashes of halves that are broadcast; more are joined by shuffling
 _ODD, _TAG, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9  # odd multipliers
 _INVERSE = pow(_ODD, -1, 1 << 64)
+Edits = tuple[tuple[int, int], ...]
 PLACE = ["no_id", "doc_id", "tid", "line"]  # the order of lines: null ids last
 
 
@@ -93,25 +101,94 @@ def halves(lines: list[list[bytes]], hashes: dict, powers: Powers) -> np.ndarray
     return _scrambled(np.stack(out, axis=1)).view(np.int64)
 
 
-def near(a: list[bytes], b: list[bytes]) -> bool:
-    """Whether at most one word inserted, deleted or replaced turns a into b."""
+def bound(n: int, edits: Edits = EDITS) -> int:
+    """Edits within which a line of n words, the shorter of two, is near to the other."""
+    return next((k for words, k in sorted(edits, reverse=True) if n >= words), 0)
+
+
+def pieces(n: int, k: int) -> list[tuple[int, int]]:
+    """Start and end of the k + 1 pieces of a line of n words."""
+    ends = [n * i // (k + 1) for i in range(k + 2)]
+    return list(zip(ends, ends[1:]))
+
+
+def places(n: int, edits: Edits) -> np.ndarray:
+    """(start, end, tag) of the pieces that a line of n words has as the shorter of two, and of those it may hold as the
+    longer; the tag tells the shorter line's length and which piece it is."""
+    out = set()
+    for m in range(max(0, n - max(k for _, k in edits)), n + 1):
+        k, more = bound(m, edits), n - m
+        if k < 2 or more > k:
+            continue
+        for i, (a, b) in enumerate(pieces(m, k)):
+            # the first piece whose edits before it are as many as the pieces before it: at most k - i follow
+            for shift in range(max(-i, more - (k - i)), min(i, more + k - i) + 1):
+                if a + shift >= 0 and b + shift <= n:
+                    out.add((a + shift, b + shift, (m << 8) + i))
+    return np.array(sorted(out), np.int64).reshape(-1, 3)
+
+
+def piece_keys(words: list[bytes], edits: Edits, hashes: dict, powers: Powers, held: dict) -> tuple[list[int], list[bool]]:
+    """Hashes of `places` in a line, and which of them are its own pieces."""
+    n = len(words)
+    if n not in held:
+        at = places(n, edits)
+        k = bound(n, edits)
+        own = {(a, b, (n << 8) + i) for i, (a, b) in enumerate(pieces(n, k))} if k > 1 else set()
+        told = at, np.array([tuple(x) in own for x in at.tolist()], bool)
+        if len(held) >= 4096:
+            held.clear()
+        held[n] = told
+    at, own = held[n]
+    if not len(at):
+        return [], []
+    line = LineHash(words, hashes, powers)
+    a, b = at[:, 0], at[:, 1]
+    tag = (at[:, 2].astype(np.uint64) + np.uint64(1 << 48)) * np.uint64(_TAG)
+    keys = _scrambled((line.sums[b] - line.sums[a]) * powers.down[a] + tag).view(np.int64)
+    return keys.tolist(), own.tolist()
+
+
+def near(a: list[bytes], b: list[bytes], k: int = 1) -> bool:
+    """Whether at most k words inserted, deleted or replaced turn a into b."""
     if len(a) > len(b):
         a, b = b, a
-    if len(b) - len(a) > 1:
+    more = len(b) - len(a)
+    if more > k:
         return False
-    i = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
-    return a[i + (len(a) == len(b)):] == b[i + 1:]
-
-
-def _lines(docs: DataFrame, near_words: int) -> DataFrame:
-    """Every line that has a word: place, digest, and the hashes of its halves if it is long enough."""
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    if k == 1:
+        return a[i + (not more):] == b[i + 1:]
+    a, b = a[i:], b[i:]
+    j = next((j for j, (x, y) in enumerate(zip(reversed(a), reversed(b))) if x != y), len(a))
+    a, b = a[:len(a) - j], b[:len(b) - j]
+    # a row holds the distances for the places of b from i - k to i + k
+    row = [max(0, d - k) if d >= k else k + 1 for d in range(2 * k + 1)]
+    for i in range(1, len(a) + 1):
+        last, row = row, [k + 1] * (2 * k + 1)
+        for d in range(2 * k + 1):
+            j = i + d - k
+            if 0 <= j <= len(b):
+                best = last[d + 1] + 1 if d < 2 * k else k + 1
+                if j:
+                    best = min(best, last[d] + (a[i - 1] != b[j - 1]), row[d - 1] + 1 if d else k + 1)
+                row[d] = best
+        if min(row) > k:
+            return False
+    return row[len(b) - len(a) + k] <= k
+
+
+def _lines(docs: DataFrame, near_words: int, edits: Edits) -> DataFrame:
+    """Every line that has a word: place, digest, and the hashes of its halves and pieces if it is long enough."""
     out = pa.schema([("doc_id", pa.int64()), ("tid", pa.int64()), ("line", pa.int32()), ("key", pa.binary()),
                      ("halves", pa.list_(pa.int64()))])
+    many = max(k for _, k in edits) > 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         hashes, powers = per_worker(("words",), WordHash), per_worker(("powers",), Powers)
+        held = per_worker(("places", edits), dict)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
@@ -120,6 +197,8 @@ def _lines(docs: DataFrame, near_words: int) -> DataFrame:
                     words = [x.split() for x in lines]
                     long = [k for k, w in enumerate(words) if len(w) >= near_words]
                     of = dict(zip(long, halves([words[k] for k in long], hashes, powers))) if long else {}
+                    if many:
+                        of = {k: [*h, *piece_keys(words[k], edits, hashes, powers, held)[0]] for k, h in of.items()}
                     rows += [(doc_id, tid, k, xxhash.xxh3_128_digest(lines[k]), of.get(k)) for k, w in enumerate(words) if w]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), out.types)], schema=out)
@@ -137,7 +216,7 @@ def _with_numbers(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _numbered(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """Text and number of the lines that share a half with another line; numbers rise in the order of the lines.
+    """Text and number of the lines that share a half or piece with another line; numbers rise in the order of the lines.
 
     `first` holds each distinct line once, by a number `row`.
     """
@@ -180,45 +259,78 @@ def _near_pairs(lines: DataFrame) -> DataFrame:
     return replaced.union(spaced).union(met).union(shorter).filter("earlier < no").distinct()
 
 
-def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def _piece_pairs(lines: DataFrame, edits: Edits) -> DataFrame:
+    """(no, earlier): lines of which the longer holds a piece of the shorter where the bound allows, not yet verified."""
+    def make():
+        hashes, powers = per_worker(("words",), WordHash), per_worker(("powers",), Powers)
+        held = per_worker(("places", edits), dict)
+
+        def row(no, text):
+            return no, *piece_keys(text.encode().split(), edits, hashes, powers, held)
+
+        return row
+
+    told = rows_to_arrow(lines.select("no", "words"), "no bigint, keys array<bigint>, own array<boolean>", make)
+    keys = settle(told.select("no", F.explode(F.arrays_zip("keys", "own")).alias("p")).select("no", "p.keys", "p.own").distinct())
+    shared = settle(keys.groupBy("keys").agg(F.min("no").alias("low"), F.max("no").alias("high"), F.count("*").alias("n"))
+                    .filter("low <> high").select("keys", shards_for("n", 1000).alias("shards")))
+    met = settle(meet(keys, shared, ["keys"], BROADCAST_ROWS))
+    part = F.pmod(F.xxhash64("no"), F.col("shards")).cast("int")
+    held = met.select("keys", F.col("no").alias("long"), part.alias("_part"))
+    own = met.filter("own").select("keys", F.col("no").alias("short"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("_part"))
+    return (held.join(own, ["keys", "_part"]).filter("long <> short")
+            .select(F.greatest("long", "short").alias("no"), F.least("long", "short").alias("earlier")).distinct())
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, edits: Edits) -> DataFrame:
     """Numbers of the lines that are within the edit bound of an earlier one."""
     pairs = settle(pairs)
     times = pairs.groupBy("earlier").agg(shards_for(F.count("*"), 1000).alias("shards"))
     early = lines.select(F.col("no").alias("earlier"), F.col("words").alias("other")).join(times, "earlier")
     both = shard_join(pairs.join(times, "earlier"), early, ["earlier"], F.col("no"), "shards").join(lines.select("no", "words"), "no")
-    told = rows_to_arrow(both.select("no", "words", "other"), "no bigint, near boolean",
-                         lambda: lambda no, a, b: (no, near(a.encode().split(), b.encode().split())))
+
+    def row(no, text, other):
+        a, b = text.encode().split(), other.encode().split()
+        return no, near(a, b, bound(min(len(a), len(b)), edits))
+
+    told = rows_to_arrow(both.select("no", "words", "other"), "no bigint, near boolean", lambda: row)
     return told.filter("near").select("no").distinct()
 
 
-def dropped_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
+def dropped_lines(docs: DataFrame, near_words: int = NEAR_WORDS, edits: Edits = EDITS) -> DataFrame:
     """(doc_id, tid, lines, n_exact, n_near) of documents that lose lines; `docs` has doc_id, tid and text."""
-    lines = settle(_lines(docs, near_words))
+    lines = settle(_lines(docs, near_words, edits))
     place = F.struct(*PLACE)
     # rows that repeat a document's id and text are one document
     first = settle(lines.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
                    .select("key", "first", "n", "halves", F.monotonically_increasing_id().alias("row")))
     again = meet(lines.drop("halves"), first.filter("n > 1").select("key", "first"), ["key"], BROADCAST_ROWS).filter(place != F.col("first"))
     numbered = _numbered(docs, first.select("first.*", "halves", "row"))
-    gone = _verified(_near_pairs(numbered), numbered).join(numbered.drop("words"), "no")
+    pairs = _near_pairs(numbered)
+    if max(k for _, k in edits) > 1:
+        pairs = pairs.union(_piece_pairs(numbered, edits)).distinct()
+    gone = _verified(pairs, numbered, edits).join(numbered.drop("words"), "no")
     told = (again.select("doc_id", "tid", "line", F.lit(0).alias("near"))
             .union(gone.select("doc_id", "tid", "line", F.lit(1))).distinct())
     return settle(told.groupBy("doc_id", "tid").agg(F.sort_array(F.collect_list("line")).alias("lines"),
                                                     F.sum(1 - F.col("near")).alias("n_exact"), F.sum("near").alias("n_near")))
 
 
-def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
+def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS, text: str = "text", key: str = "doc_id",
+                edits: Edits = EDITS) -> DataFrame:
     """`docs` with each line kept only where it, or a line near to it, comes first; adds n_lines, n_exact and n_near.
 
     Lines are parted by \\n and ordered by key (null last), then by a hash of the text, then by line number. A line goes when
     an equal line comes before it, in the same document or an earlier one, or, if it has `near_words` words or more, when a
-    line within one word of it does. That the earlier line itself may be dropped doesn't matter. Lines without a word always
+    line near to it does: `edits` tells by the words of the shorter of two lines within how many inserted, deleted or
+    replaced words they are near (EDITS one at any length, EDITS_BY_LENGTH more for longer lines; bounds must not fall with
+    the length). That the earlier line itself may be dropped doesn't matter. Lines without a word always
     stay. Null text stays null. Rows that repeat both key and text are one document and get the same result. Columns named
     like an added one are replaced; an empty table gives no rows.
     """
     rows = docs.select(F.struct("*").alias("_doc"), F.col(key).cast("bigint").alias("doc_id"),
                        F.col(text).cast("string").alias("text")).withColumn("tid", F.xxhash64("text"))
-    plan = dropped_lines(rows.drop("_doc"), near_words)
+    plan = dropped_lines(rows.drop("_doc"), near_words, edits)
     few = plan.withColumnRenamed("doc_id", "_d").withColumnRenamed("tid", "_t")
     if plan.count() <= BROADCAST_ROWS:
         few = F.broadcast(few)

@@ -26,6 +26,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op3_line_dedup_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op3_line_dedup, with near copies of long lines within two or three edits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    told = line_dedup.dedup_lines(docs, edits=line_dedup.EDITS_BY_LENGTH)
+    return told.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", F.octet_length("payload").cast("bigint").alias("payload_bytes"),
@@ -59,8 +66,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op2_exact_dedup, op3_line_dedup, op4_warc, op5_mixing, op6_token_files, op7_url_filter, op8_quality, op9_jaccard_join,
-    op10_language_id)}
+    op1_bpe, op2_exact_dedup, op3_line_dedup, op3_line_dedup_by_length, op4_warc, op5_mixing, op6_token_files, op7_url_filter,
+    op8_quality, op9_jaccard_join, op10_language_id)}
 
 OP2_SQL = """
 WITH d AS (SELECT doc_id, rowid_ AS r, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256

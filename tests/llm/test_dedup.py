@@ -8,6 +8,7 @@ import pytest
 
 from creditmill.llm import exact_dedup, line_dedup
 from creditmill.llm.common import with_least
+from creditmill.llm.jaccard_join import WordHash
 from pyspark.sql import functions as F
 
 
@@ -104,6 +105,53 @@ def test_near_is_one_word():
         assert line_dedup.near(a, b) == (distance(a, b) <= 1)
 
 
+def test_near_is_k_words():
+    rng = random.Random(3)
+    for _ in range(4000):
+        a = [rng.choice("abc") for _ in range(rng.randint(0, 9))]
+        b = [rng.choice("abc") for _ in range(rng.randint(0, 9))] if rng.random() < 0.5 else edited(rng, a + ["a", "b"])
+        k = rng.randint(0, 4)
+        assert line_dedup.near(a, b, k) == (distance(a, b) <= k)
+
+
+def test_near_lines_share_a_piece():
+    rng, hashes, powers, held = random.Random(4), WordHash(), line_dedup.Powers(), {}
+    edits = ((0, 1), (8, 2), (14, 3))
+    for _ in range(2000):
+        a = [rng.choice("abcd").encode() for _ in range(rng.randint(8, 24))]
+        b = list(a)
+        for _ in range(rng.randint(1, 3)):
+            k = rng.randrange(len(b))
+            b[k:k + 1] = rng.choice([[], [b"x"], [b[k], b"x"], [b"x", b[k]]])
+        short, long = sorted((a, b), key=len)
+        k = line_dedup.bound(len(short), edits)
+        if k > 1 and distance(a, b) <= k:
+            mine, own = line_dedup.piece_keys(short, edits, hashes, powers, held)
+            assert {x for x, o in zip(mine, own) if o} & set(line_dedup.piece_keys(long, edits, hashes, powers, held)[0])
+
+
+def test_long_lines_within_two_and_three_edits(documents):
+    rng, edits = random.Random(6), ((0, 1), (12, 2), (20, 3))
+    base = [[rng.choice("abcdefgh") for _ in range(n)] for n in (9, 11, 12, 13, 19, 20, 21, 26)]
+    rows, seen, want = [], [], {}
+    for i in range(90):
+        words = list(rng.choice(base))
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(words))
+            words[k:k + 1] = rng.choice([[], ["x"], [words[k], "y"], ["z", words[k]]])
+        line = " ".join(words)
+        rows.append((i, line))
+        exact = words in seen
+        close = not exact and any(distance(words, w) <= line_dedup.bound(min(len(words), len(w)), edits)
+                                  for w in seen if min(len(words), len(w)) >= 8) and len(words) >= 8
+        want[i] = int(exact), int(close)
+        seen.append(words)
+    got = {r.doc_id: (r.n_exact, r.n_near) for r in line_dedup.dedup_lines(documents(rows), edits=edits).collect()}
+    assert got == want
+    one = sum(r.n_near for r in line_dedup.dedup_lines(documents(rows)).collect())
+    assert sum(n for _, n in want.values()) > one  # one edit alone misses some
+
+
 def test_hot_variant_needs_no_pairs(documents):
     rows = [(i, f"this line is the same but for number {i} in it") for i in range(500)]
     got = line_dedup.dedup_lines(documents(rows)).collect()
