@@ -1,6 +1,7 @@
 """Trained models, calibration, batch and stream scoring, attributions, at the operators' own settings.
 
 Only the tuning search is cut down: two trials from narrow ranges, as one trial of the full ranges alone takes minutes.
+`select_features` returns ten raw columns, as its SQL says; `select_features_of_model` takes the defaults.
 """
 
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from creditmill import schema as S
 from creditmill.catalog.base import applications_of, feature_loans, oracle, rounded, stored_loans
 from creditmill.operators import explain, metrics, models
 from creditmill.plans import prediction, training
-from creditmill.session import scratch_path
+from creditmill.session import scratch_path, settle
 from creditmill.sources import files
 from creditmill.sources.loans_view import clean_loans
 from creditmill.streaming import applications as stream
@@ -43,13 +44,13 @@ def train_all(spark, sf_dir):
 
 def train_all_undersampled(spark, sf_dir):
     train, test, used = frames(spark, sf_dir)
-    return models.train_all(train, test, used, names=["DecisionTree", "NaiveBayes"], sampling_method="undersample")[0]
+    return models.train_all(train, test, used, sampling_method="undersample")[0]
 
 
 def log_run(spark, sf_dir):
     path = scratch_path(spark, "runs")
     train, test, used = frames(spark, sf_dir)
-    models.train_all(train, test, used, names=["DecisionTree", "NaiveBayes"], runs_path=path)
+    models.train_all(train, test, used, runs_path=path)
     return (files.read_runs(spark, path).drop("logged_at")
             .select("model", "sampling_method", "n_features", "train_size", "test_size",
                     F.col("metrics")["roc_auc"].alias("roc_auc"), F.col("metrics")["f1_score"].alias("f1_score")))
@@ -121,6 +122,12 @@ def select_features(spark, sf_dir):
     return rounded(explain.select_features(stored_loans(spark, sf_dir, S.TARGET, *S.NUMERICAL), S.NUMERICAL, top_n=10))
 
 
+def select_features_of_model(spark, sf_dir):
+    """As many as the operator selects by default, of the model features."""
+    loans = settle(feature_loans(spark, sf_dir).select(S.TARGET, *S.MODEL_FEATURES))
+    return rounded(explain.select_features(loans, S.MODEL_FEATURES))
+
+
 def permutation_importance(spark, sf_dir):
     train, _, used = frames(spark, sf_dir)
     return explain.permutation_importance(train, used)
@@ -156,6 +163,7 @@ QUERIES = {
     "save_model": save_model, "predict_pd": predict_pd, "tune_gbt": tune_gbt,
     "calibrate_isotonic": calibrate_isotonic, "predict_batch": predict_batch, "score_stream": score_stream,
     "mutual_information": mutual_information, "select_features": select_features,
+    "select_features_of_model": select_features_of_model,
     "permutation_importance": permutation_importance,
     "linear_attributions": lambda s, d: rounded(_phi(s, d)),
     "shapley_values": shapley_values,
