@@ -1,6 +1,6 @@
 """Trained models, calibration, batch and stream scoring, attributions, at the operators' own settings.
 
-Only the tuning search is cut down: two trials from narrow ranges, as one trial of the full ranges alone takes minutes.
+Only the tuning search has fewer trials than by default: two, from the full ranges.
 `select_features` returns ten raw columns, as its SQL says; `select_features_of_model` takes the defaults.
 """
 
@@ -72,8 +72,7 @@ def predict_pd(spark, sf_dir):
 
 def tune_gbt(spark, sf_dir):
     train, test, used = frames(spark, sf_dir)
-    ranges = {"maxIter": (5, 10), "maxDepth": (3, 4)}
-    model, params, auc = models.tune_gbt(train, used, n_trials=2, ranges=ranges, least_rows=0)
+    model, params, auc = models.tune_gbt(train, used, n_trials=2, least_rows=0)
     scored = models.predict_pd(model, test)
     return metrics.roc_auc(scored).select(
         F.lit(auc).alias("validation_auc"), F.col("roc_auc").alias("test_auc"),

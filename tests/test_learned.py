@@ -20,3 +20,15 @@ def test_every_model_is_fitted(spark, sf_dir, monkeypatch, name):
 def test_as_many_model_features_as_by_default(spark, sf_dir):
     names = [r["feature"] for r in learned.QUERIES["select_features_of_model"](spark, sf_dir).collect()]
     assert len(set(names)) == len(names) == explain.TOP_FEATURES == 30 and set(names) < set(S.MODEL_FEATURES)
+
+
+def test_tuning_searches_the_full_ranges(spark, sf_dir, monkeypatch):
+    asked, draw = [], models.draw_params
+
+    def small(n_trials, seed, ranges):
+        asked.append(ranges)
+        return [{**t, "maxIter": 2, "maxDepth": 2} for t in draw(n_trials, seed, ranges)]
+
+    monkeypatch.setattr(models, "draw_params", small)
+    assert learned.QUERIES["tune_gbt"](spark, sf_dir).count() == 1
+    assert asked == [models.TUNE_RANGES]
