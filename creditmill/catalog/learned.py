@@ -121,10 +121,17 @@ def select_features(spark, sf_dir):
     return rounded(explain.select_features(stored_loans(spark, sf_dir, S.TARGET, *S.NUMERICAL), S.NUMERICAL, top_n=10))
 
 
+def _model_features(spark, sf_dir):
+    return settle(feature_loans(spark, sf_dir).select(S.TARGET, *S.MODEL_FEATURES))
+
+
+def mutual_information_of_model(spark, sf_dir):
+    return rounded(explain.mutual_information(_model_features(spark, sf_dir), S.MODEL_FEATURES))
+
+
 def select_features_of_model(spark, sf_dir):
     """As many as the operator selects by default, of the model features."""
-    loans = settle(feature_loans(spark, sf_dir).select(S.TARGET, *S.MODEL_FEATURES))
-    return rounded(explain.select_features(loans, S.MODEL_FEATURES))
+    return rounded(explain.select_features(_model_features(spark, sf_dir), S.MODEL_FEATURES))
 
 
 def permutation_importance(spark, sf_dir):
@@ -162,7 +169,7 @@ QUERIES = {
     "save_model": save_model, "predict_pd": predict_pd, "tune_gbt": tune_gbt,
     "calibrate_isotonic": calibrate_isotonic, "predict_batch": predict_batch, "score_stream": score_stream,
     "mutual_information": mutual_information, "select_features": select_features,
-    "select_features_of_model": select_features_of_model,
+    "mutual_information_of_model": mutual_information_of_model, "select_features_of_model": select_features_of_model,
     "permutation_importance": permutation_importance,
     "linear_attributions": lambda s, d: rounded(_phi(s, d)),
     "shapley_values": shapley_values,

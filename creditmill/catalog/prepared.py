@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from creditmill import schema as S
-from creditmill.catalog.base import NUMBERS, TEXTS, model_loans, oracle, rounded, stored_loans
+from creditmill.catalog.base import NUMBERS, TEXTS, feature_loans, model_loans, oracle, rounded, stored_loans
 from creditmill.operators import anomalies, neighbors, preprocess, sampling
 from creditmill.session import settle
 from creditmill.sources.loans_view import clean_loans
@@ -45,17 +45,28 @@ def scaled_points(spark, sf_dir):
     return settle(preprocess.scale(preprocess.impute_numeric(loans), "robust"))
 
 
+def scaled_features(spark, sf_dir):
+    loans = settle(feature_loans(spark, sf_dir).select(S.KEY, *S.MODEL_FEATURES, S.TARGET))
+    return settle(preprocess.scale(preprocess.impute_numeric(loans), "robust"))
+
+
 def smote_neighbors(spark, sf_dir):
     minority = scaled_points(spark, sf_dir).filter(F.col(S.TARGET) == 1)
     return rounded(neighbors.neighbor_table(minority, minority, SPACE))
 
 
+def smote_neighbors_of_model(spark, sf_dir):
+    """As smote_neighbors, in the space of all model features."""
+    minority = scaled_features(spark, sf_dir).filter(F.col(S.TARGET) == 1)
+    return rounded(neighbors.neighbor_table(minority, minority, S.MODEL_FEATURES))
+
+
 def smote(spark, sf_dir):
-    return neighbors.smote(scaled_points(spark, sf_dir), SPACE)
+    return neighbors.smote(scaled_features(spark, sf_dir), S.MODEL_FEATURES)
 
 
 def adasyn(spark, sf_dir):
-    return neighbors.adasyn(scaled_points(spark, sf_dir), SPACE)
+    return neighbors.adasyn(scaled_features(spark, sf_dir), S.MODEL_FEATURES)
 
 
 def outliers_iqr(spark, sf_dir):
@@ -109,11 +120,13 @@ QUERIES = {
     "target_encode": lambda s, d: rounded(preprocess.target_encode(sparse_texts(s, d))),
     "onehot_encode": lambda s, d: preprocess.onehot_encode(
         sparse_texts(s, d).select(S.KEY, "grade", "home_ownership", "purpose", S.TARGET)),
+    "onehot_encode_all": lambda s, d: preprocess.onehot_encode(sparse_texts(s, d)),
     "scale_standard": _scale("standard"), "scale_minmax": _scale("minmax"), "scale_robust": _scale("robust"),
     "outliers_iqr": outliers_iqr, "outliers_isolation_forest": outliers_isolation_forest,
     "preprocess": preprocess_all, "preprocess_on_train": preprocess_on_train,
     "stratified_split": stratified_split, "stratified_folds": stratified_folds, "fixed_sample": fixed_sample,
-    "undersample": undersample, "smote_neighbors": smote_neighbors, "smote": smote, "adasyn": adasyn,
+    "undersample": undersample, "smote_neighbors": smote_neighbors,
+    "smote_neighbors_of_model": smote_neighbors_of_model, "smote": smote, "adasyn": adasyn,
     "class_weights": class_weights,
 }
 

@@ -32,3 +32,8 @@ def test_tuning_searches_the_full_ranges(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(models, "draw_params", small)
     assert learned.QUERIES["tune_gbt"](spark, sf_dir).count() == 1
     assert asked == [models.TUNE_RANGES]
+
+
+def test_mutual_information_of_every_model_feature(spark, sf_dir):
+    names = [r["feature"] for r in learned.QUERIES["mutual_information_of_model"](spark, sf_dir).collect()]
+    assert sorted(names) == sorted(S.MODEL_FEATURES)
