@@ -31,12 +31,17 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id; rows without an id stay."""
-    told = jaccard_join.near_duplicates(docs)
-    gone = settle(told.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
+    """Of each group of linked rows the one with the smallest id, nulls last, then the smallest row number."""
+    rows = settle(docs.withColumn("_place", F.monotonically_increasing_id()))
+    told = settle(jaccard_join.near_duplicates(rows, key="_place").filter("n_shingles > 0")
+                  .select(F.col("doc_id").alias("_place"), "component_id"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_place")
+    first = (told.join(rows.select("_place", "doc_id"), "_place").groupBy("component_id").agg(F.min(order).alias("first"))
+             .select("first._place"))
+    gone = settle(told.join(first, "_place", "left_anti").select(F.col("_place").alias("_gone")))
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return rows.join(gone, rows["_place"] == F.col("_gone"), "left_anti").drop("_place")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
