@@ -6,8 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmill.llm import bpe, exact_dedup, jaccard_join, language_id, line_dedup, mixing, quality, token_files, url_filter, warc
-from creditmill.llm.common import table
+from creditmill.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    periodic_runs,
+    quality,
+    token_files,
+    url_filter,
+    warc,
+    whitening,
+)
+from creditmill.llm.common import WORD, table
 
 TOKENIZER = os.environ.get("CREDITMILL_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
 
@@ -65,9 +79,48 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = whitening.whitening(table(spark, sf_dir, "embeddings"))
+    return told.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which those whose key hashes to a multiple of ten repeat some of their words from a place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words, n = F.col("words"), F.col("n")
+    g = F.floor(h / 10)
+    a = F.pmod(g, n)
+    told = (docs.filter(F.pmod(h, F.lit(10)) == 0)
+            .select("doc_id", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)).alias("words"))
+            .withColumn("n", F.size("words").cast("bigint"))
+            .select("doc_id", "words", "n", a.alias("a"), (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).alias("p")))
+    place = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1),
+                        lambda i: F.get(words, F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p"))).cast("int")))
+    changed = told.select("doc_id", F.when(n > 0, F.array_join(place, " ")).otherwise("").alias("text"))
+    return changed.union(docs.filter(F.coalesce(F.pmod(h, F.lit(10)) != 0, F.lit(True))).select("doc_id", "text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    told = periodic_runs.periodic_runs(with_periods(docs))
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"),
+                                                                r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    length = -F.col("best.less")
+    return told.withColumn("best", first).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"),
+        F.col("best.period").alias("period"), F.expr("(1000 * -best.less) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return told.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_exact_dedup, op3_line_dedup, op3_line_dedup_by_length, op4_warc, op5_mixing, op6_token_files, op7_url_filter,
-    op8_quality, op9_jaccard_join, op10_language_id)}
+    op8_quality, op9_jaccard_join, op10_language_id, op11_whitening, op12_periodic_runs, op13_embedding_dedup)}
 
 OP2_SQL = """
 WITH d AS (SELECT doc_id, rowid_ AS r, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
@@ -175,5 +228,17 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.doc_id"""
 
+OP13_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+k AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+      WHERE list_dot_product(a.x, b.x) >= 0.93 * sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))),
+n AS (SELECT a, count(*) AS n_links FROM k GROUP BY a),
+reach(a, b) AS (SELECT a, a FROM n UNION SELECT reach.a, k.b FROM reach JOIN k ON reach.b = k.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.a"""
+
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_warc": OP4_SQL, "op5_mixing": OP5_SQL, "op7_url_filter": OP7_SQL,
-           "op9_jaccard_join": OP9_SQL}
+           "op9_jaccard_join": OP9_SQL, "op13_embedding_dedup": OP13_SQL}
