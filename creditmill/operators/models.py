@@ -2,7 +2,8 @@
 
 import json
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,11 +15,9 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +38,12 @@ SPECS = {
     "GradientBoosting": {"weighted": False, "maxIter": 200, "maxDepth": 5, "stepSize": 0.1},
     "WeightedBoosting": {"weighted": True, "maxIter": 300, "maxDepth": 6, "stepSize": 0.1},
 }
-# Tuning ranges (low, high) and the least rows tuning is worth.
+# Tuning ranges (low, high).
 TUNE_RANGES = {"maxIter": (200, 600), "maxDepth": (3, 10), "stepSize": (0.01, 0.3), "subsamplingRate": (0.6, 1.0),
                "featureSubsetStrategy": (0.6, 1.0), "minInstancesPerNode": (1, 10), "maxBins": (32, 255)}
-TUNE_ROWS = 80_000
+HALVING = 3  # of so many draws one goes on to the next rung, which has so many times the rounds
 TREE_MEMORY_MB = 1024
+ROWS_A_TASK = 4096  # a pass over fewer rows costs less than starting its task
 _OUT = ("rawPrediction", "probability", "prediction", FEATURES)
 
 
@@ -57,10 +57,26 @@ def _estimator(name: str, label: str, weighted: bool, seed: int, params: Mapping
         return NaiveBayes(**common, modelType="gaussian", **params)
     # room for the split statistics of a whole tree level, so that a level takes one pass
     params = {"maxMemoryInMB": TREE_MEMORY_MB, **params}
+    if name == "RandomForest":
+        params = {"cacheNodeIds": True, **params}  # rows remember their nodes, so the forest need not travel with each pass
     kind = {"DecisionTree": DecisionTreeClassifier, "RandomForest": RandomForestClassifier}.get(name, GBTClassifier)
     return kind(**common, seed=seed, **params)
 
 
+def spread(frame: DataFrame, rows: int) -> DataFrame:
+    """A frame that is fitted many times over, cut for the cores there are; a large one is left as it is."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if rows > 16 * cores * ROWS_A_TASK:
+        return frame
+    return frame.repartition(min(cores, max(1, -(-rows // ROWS_A_TASK))), *[c for c in (S.KEY,) if c in frame.columns])
+
+
+def at_once(action: Callable, items: Iterable, parallelism: int) -> list:
+    """`action` of every item in a few threads: Spark runs their jobs side by side. The first error is raised."""
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        return list(pool.map(action, items))
+
+
 def train(name: str, train_df: DataFrame, features: Sequence[str], label: str = S.TARGET,
           weight: bool | None = None, seed: int = S.SEED, **params) -> PipelineModel:
     """Fit one of SPECS; `params` override its settings, `weight` its use of balanced class weights."""
@@ -122,35 +138,30 @@ class Trained:
 def train_all(train_df: DataFrame, test_df: DataFrame, features: Sequence[str], label: str = S.TARGET,
               names: Sequence[str] = tuple(SPECS), sampling_method: str = "none", seed: int = S.SEED,
               params: Mapping[str, Mapping] | None = None, runs_path: str | None = None,
-              models_path: str | None = None) -> tuple[DataFrame, dict[str, Trained]]:
+              models_path: str | None = None, run: str | None = None,
+              parallelism: int = len(SPECS)) -> tuple[DataFrame, dict[str, Trained]]:
     """Fit every named model and rank them by AUC on `test_df`.
 
-    Balanced weights apply only without resampling. Given paths, each run is logged and each model,
-    and the best one as `best_model`, is saved.
+    Fits are independent and run side by side, so each one's time is that of a busy cluster. Balanced weights apply only
+    without resampling. Given paths, each run is logged (under the key `run`, if given) and each model, and the best one as
+    `best_model`, is saved.
     """
     spark = train_df.sparkSession
-    frame = neighbors.resample(train_df, features, sampling_method, label, seed)
-    frame = sampling.class_weights(frame, label, resampled=sampling_method != "none").persist()
-    fitted, scored = {}, None
-    for name in names:
+    frame, rows = training_rows(train_df, features, sampling_method, label, seed)
+
+    def fit(name: str) -> Trained:
         start = time.time()
-        model = train(name, frame, features, label, seed=seed, **(params or {}).get(name, {}))
-        fitted[name] = Trained(name, model, time.time() - start)
-        part = predict_pd(model, test_df.select(S.KEY, label, *features)).select(
-            S.KEY, label, F.lit(name).alias("model"), PD)
-        scored = part if scored is None else scored.unionByName(part)
-    times = spark.createDataFrame([(t.name, t.seconds) for t in fitted.values()],
-                                  "model string, train_time_seconds double")
-    board = metrics.all_metrics(scored, label).join(F.broadcast(times), "model").orderBy(F.desc("roc_auc"), "model")
-    rows = board.collect()  # one row per model
-    if runs_path:
-        sizes = (frame.count(), test_df.count())
-        files.log_run(spark, runs_path, [
-            {"model": r["model"], "sampling_method": sampling_method, "n_features": len(features),
-             "train_size": sizes[0], "test_size": sizes[1], "params": {},
-             "metrics": {k: float(v) for k, v in r.asDict().items() if k != "model"}} for r in rows])
+        return Trained(name, train(name, frame, features, label, seed=seed, **(params or {}).get(name, {})), time.time() - start)
+
+    # the longest first, so that the others end beside them
+    order = sorted(names, key=lambda n: -list(SPECS).index(n) if n in SPECS else 0)
+    fitted = {t.name: t for t in at_once(fit, order, parallelism)}
+    fitted = {name: fitted[name] for name in names}
     frame.unpersist()
-    board = spark.createDataFrame(rows, board.schema)
+    board = leaderboard(spark, {n: t.model for n, t in fitted.items()}, test_df, features, label,
+                        {n: t.seconds for n, t in fitted.items()})
+    if runs_path:
+        log_board(spark, runs_path, board, sampling_method, len(features), (rows, test_df.count()), run)
     if models_path:
         best = metrics.select_best_model(board).first()["model"]
         for name, t in {**fitted, "best_model": fitted[best]}.items():
@@ -158,10 +169,41 @@ def train_all(train_df: DataFrame, test_df: DataFrame, features: Sequence[str],
     return board, fitted
 
 
+def training_rows(train_df: DataFrame, features: Sequence[str], sampling_method: str = "none", label: str = S.TARGET,
+                  seed: int = S.SEED) -> tuple[DataFrame, int]:
+    """Resampled rows with their class weights, held in memory for many passes, and their number."""
+    frame = neighbors.resample(train_df, features, sampling_method, label, seed)
+    frame = sampling.class_weights(frame, label, resampled=sampling_method != "none")
+    rows = frame.count()
+    return spread(frame, rows).persist(), rows
+
+
+def leaderboard(spark: SparkSession, fitted: Mapping, test_df: DataFrame, features: Sequence[str], label: str = S.TARGET,
+                seconds: Mapping[str, float] | None = None) -> DataFrame:
+    """Metrics of each model on `test_df`, all from one pass over the scored rows, best AUC first."""
+    scored = None
+    for name, model in fitted.items():
+        part = predict_pd(model, test_df.select(S.KEY, label, *features)).select(S.KEY, label, F.lit(name).alias("model"), PD)
+        scored = part if scored is None else scored.unionByName(part)
+    times = spark.createDataFrame([(n, float((seconds or {}).get(n, 0.0))) for n in fitted], "model string, train_time_seconds double")
+    board = metrics.all_metrics(scored, label).join(F.broadcast(times), "model").orderBy(F.desc("roc_auc"), "model")
+    return spark.createDataFrame(board.collect(), board.schema)  # one row per model
+
+
+def log_board(spark: SparkSession, path: str, board: DataFrame, sampling_method: str, n_features: int, sizes: tuple[int, int],
+              run: str | None = None, params: Mapping[str, Mapping] | None = None) -> None:
+    """One run-log row per model of a leaderboard."""
+    files.log_run(spark, path, [
+        {"model": r["model"], "sampling_method": sampling_method, "n_features": n_features, "train_size": sizes[0], "test_size": sizes[1],
+         "params": {k: str(v) for k, v in (params or {}).get(r["model"], {}).items()},
+         "metrics": {k: float(v) for k, v in r.asDict().items() if k != "model"}} for r in board.collect()], run)
+
+
 # --- tuning -----------------------------------------------------------------------------------
 
 def draw_params(n_trials: int, seed: int = S.SEED, ranges: Mapping = TUNE_RANGES) -> list[dict]:
-    """Seeded draws from the ranges: integers uniform, rates uniform, the step size log-uniform."""
+    """Seeded draws from the ranges: integers uniform, rates uniform, the step size log-uniform. Rounds are drawn as the
+    others, for searches that fit each draw once."""
     rng = np.random.default_rng(seed)
     trials = []
     for _ in range(n_trials):
@@ -179,29 +221,77 @@ def draw_params(n_trials: int, seed: int = S.SEED, ranges: Mapping = TUNE_RANGES
     return trials
 
 
-def tune_gbt(train_df: DataFrame, features: Sequence[str], n_trials: int = 50, seed: int = S.SEED,
-             label: str = S.TARGET, ranges: Mapping | None = None, least_rows: int = TUNE_ROWS,
-             parallelism: int = 2) -> tuple[PipelineModel, dict, float] | None:
-    """Random search for the weighted booster of best AUC on a held-out quarter of the training rows.
+def auc_of(model: Transformer, rows: DataFrame, label: str = S.TARGET) -> float:
+    """Exact AUC on some rows; one half where a class is missing."""
+    found = metrics.roc_auc(predict_pd(model, rows), label).first()["roc_auc"]
+    return 0.5 if found is None else float(found)
+
+
+def tuning_rows(train_df: DataFrame, features: Sequence[str], label: str = S.TARGET, seed: int = S.SEED) -> DataFrame:
+    """Training rows with class weights, a quarter of each class marked `is_test`: held out from fits while tuning."""
+    marked = sampling.stratified_split(train_df.select(S.KEY, *features, label), label, 0.25, seed)
+    return sampling.class_weights(marked, label)
+
 
-    Returns (model fitted on all rows, its parameters, its AUC), or None below `least_rows`.
+def held_out_auc(name: str, train_df: DataFrame, features: Sequence[str], label: str = S.TARGET, seed: int = S.SEED, **params) -> float:
+    """AUC on the held-out training rows of one of SPECS that is fitted on the others: comparable with that of tuning."""
+    rows = tuning_rows(train_df, features, label, seed)
+    rows = spread(rows, rows.count()).persist()
+    model = train(name, rows.filter(~F.col("is_test")), features, label, seed=seed, **params)
+    found = auc_of(model, rows.filter("is_test"), label)
+    rows.unpersist()
+    return found
+
+
+def rungs(n_trials: int, most_rounds: int, factor: int = HALVING, first: int = 20) -> list[tuple[int, int]]:
+    """(draws, rounds) of successive halving: each rung has `factor` times fewer draws and more rounds than the one before,
+    from `first` rounds or somewhat more up to all."""
+    rounds = [most_rounds]
+    while rounds[0] // factor >= first:
+        rounds.insert(0, rounds[0] // factor)
+    return [(max(1, -(-n_trials // factor**k)), r) for k, r in enumerate(rounds)]
+
+
+def tune_gbt(train_df: DataFrame, features: Sequence[str], n_trials: int = 50, seed: int = S.SEED,
+             label: str = S.TARGET, ranges: Mapping | None = None, parallelism: int = 2,
+             ) -> tuple[PipelineModel, dict, float]:
+    """The weighted booster of best AUC on a held-out quarter of the training rows.
+
+    Draws from the ranges go through successive halving; the last rung fits as many rounds as the range allows. Rounds are
+    read off the fits instead of being drawn: a fit counts with all its rounds or with the prefix whose loss on the held-out
+    rows, read after each round, is least, whichever has the higher AUC. A draw that a longer fit did not improve is fitted no
+    further. Returns (model fitted on all rows with the best parameters, these parameters, their held-out AUC).
     """
-    if train_df.count() < least_rows:
-        return None
-    frame = sampling.class_weights(train_df.select(*features, label), label)
-    frame = frame.withColumn(label, F.col(label).cast("double")).persist()
+    ranges = {**TUNE_RANGES, **(ranges or {})}
+    weighted = tuning_rows(train_df, features, label, seed)
+    frame = spread(weighted, weighted.count()).withColumn(label, F.col(label).cast("double"))
+    frame = VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(frame).persist()
     shared_dir(train_df.sparkSession)
-    gbt = GBTClassifier(labelCol=label, featuresCol=FEATURES, weightCol=WEIGHT, seed=seed,
-                        maxMemoryInMB=TREE_MEMORY_MB)
-    trials = draw_params(n_trials, seed, {**TUNE_RANGES, **(ranges or {})})
-    maps = [{gbt.getParam(k): v for k, v in t.items()} for t in trials]
-    pipeline = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=FEATURES), gbt])
-    auc = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-    search = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=maps, evaluator=auc, trainRatio=0.75,
-                                  parallelism=parallelism, seed=seed).fit(frame)
+    kept, held_out = frame.filter(~F.col("is_test")), frame.filter("is_test")
+    draws = draw_params(n_trials, seed, ranges)
+
+    def fit(k: int, rounds: int, on: DataFrame):
+        return _estimator("WeightedBoosting", label, True, seed, {**draws[k], "maxIter": rounds}).fit(on)
+
+    def trial(k: int, rounds: int, before: tuple[float, int, bool] | None) -> tuple[float, int, bool]:
+        model = fit(k, rounds, kept)
+        found = [(auc_of(model, held_out, label), rounds)]
+        prefix = int(np.argmin(model.evaluateEachIteration(held_out))) + 1
+        if prefix < rounds:  # the same seed and rows give the same trees again
+            found.append((auc_of(fit(k, prefix, kept), held_out, label), prefix))
+        auc, best = max(found, key=lambda x: (x[0], -x[1]))
+        return (auc, best, False) if before is None or auc > before[0] else (*before[:2], True)
+
+    told: dict[int, tuple[float, int, bool]] = {}  # by draw: AUC, rounds, whether a longer fit was of no use
+    for keep, rounds in rungs(n_trials, ranges["maxIter"][1]):
+        stay = sorted(range(n_trials), key=lambda k: (-told[k][0] if k in told else 0.0, k))[:keep]
+        more = [k for k in stay if k not in told or not told[k][2]]
+        longer = at_once(lambda k: trial(k, rounds, told.get(k)), more, parallelism)
+        told = {**{k: told[k] for k in stay if k in told}, **dict(zip(more, longer))}
+    best = max(told, key=lambda k: (told[k][0], -k))
+    params = {**draws[best], "maxIter": told[best][1]}
     frame.unpersist()
-    best = int(np.argmax(search.validationMetrics))
-    return search.bestModel, trials[best], float(search.validationMetrics[best])
+    return train("WeightedBoosting", spread(weighted, weighted.count()), features, label, seed=seed, **params), params, told[best][0]
 
 
 # --- calibration ------------------------------------------------------------------------------
@@ -246,11 +336,14 @@ def fit_isotonic(scored: DataFrame, label: str = S.TARGET, raw: str = "_raw") ->
 def calibrate_isotonic(name: str, train_df: DataFrame, features: Sequence[str], label: str = S.TARGET,
                        folds: int = 5, seed: int = S.SEED, **params) -> CalibratedModel:
     """Fit on all folds but one, calibrate on that one, for each fold."""
-    placed = sampling.stratified_folds(train_df.select(S.KEY, *features, label), label, folds, seed).persist()
-    members = []
-    for i in range(folds):
+    placed = sampling.stratified_folds(train_df.select(S.KEY, *features, label), label, folds, seed)
+    placed = spread(placed, placed.count()).persist()
+
+    def member(i: int) -> tuple[PipelineModel, IsotonicRegressionModel]:
         model = train(name, placed.filter(F.col("fold") != i), features, label, seed=seed, **params)
-        members.append((model, fit_isotonic(predict_pd(model, placed.filter(F.col("fold") == i), "_raw"), label)))
+        return model, fit_isotonic(predict_pd(model, placed.filter(F.col("fold") == i), "_raw"), label)
+
+    members = at_once(member, range(folds), folds)
     placed.unpersist()
     return CalibratedModel(name, members)
 

@@ -130,20 +130,36 @@ def predictions(scored: DataFrame, version: str = S.MODEL_VERSION, pd_col: str =
 
 
 def append_predictions(scored: DataFrame, path: str, version: str = S.MODEL_VERSION,
-                       pd_col: str = "predicted_pd") -> None:
-    """Append to the predictions table, one folder per tier so that a tier filter prunes files."""
-    predictions(scored, version, pd_col).write.mode("append").partitionBy("risk_tier").parquet(path)
+                       pd_col: str = "predicted_pd", run: str | None = None) -> None:
+    """Append to the predictions table, one folder per tier so that a tier filter prunes files.
+
+    With `run`, the rows lie in a folder of that key, which writing the same run again replaces: a retried job leaves no
+    row twice. A table takes either rows with a key or rows without.
+    """
+    rows = predictions(scored, version, pd_col)
+    if run is None:
+        rows.write.mode("append").partitionBy("risk_tier").parquet(path)
+    else:
+        _replace_run(rows, path, run, ["risk_tier"])
+
+
+def _replace_run(rows: DataFrame, path: str, run: str, more: Sequence[str] = ()) -> None:
+    """Write the folder of one run anew: its earlier tiers go as well, other runs' folders are not touched."""
+    rows.write.mode("overwrite").partitionBy(*more).parquet(f"{path.rstrip('/')}/run={run}")
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.PREDICTIONS).parquet(path).select(*S.PREDICTIONS.names)
 
 
-def log_run(spark: SparkSession, path: str, runs: Sequence[Mapping]) -> None:
-    """Append training runs (parameters and metrics) to the runs table."""
+def log_run(spark: SparkSession, path: str, runs: Sequence[Mapping], run: str | None = None) -> None:
+    """Append training runs (parameters and metrics) to the runs table; with `run`, logging it again replaces its rows."""
     rows = [tuple(r.get(f.name) for f in RUNS) for r in runs]
-    (spark.createDataFrame(rows, RUNS).withColumn("logged_at", F.current_timestamp())
-     .coalesce(1).write.mode("append").parquet(path))
+    told = spark.createDataFrame(rows, RUNS).withColumn("logged_at", F.current_timestamp()).coalesce(1)
+    if run is None:
+        told.write.mode("append").parquet(path)
+    else:
+        _replace_run(told, path, run)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -27,9 +27,10 @@ def test_tuning_searches_the_full_ranges(spark, sf_dir, monkeypatch):
 
     def small(n_trials, seed, ranges):
         asked.append(ranges)
-        return [{**t, "maxIter": 2, "maxDepth": 2} for t in draw(n_trials, seed, ranges)]
+        return [{**t, "maxDepth": 2, "stepSize": 0.3} for t in draw(n_trials, seed, ranges)]
 
     monkeypatch.setattr(models, "draw_params", small)
+    monkeypatch.setattr(models, "rungs", lambda n, most: [(n, 2)] if most == 600 else 1 / 0)
     assert learned.QUERIES["tune_gbt"](spark, sf_dir).count() == 1
     assert asked == [models.TUNE_RANGES]
 
