@@ -7,6 +7,8 @@ What arrives is merged at once, so a run never holds a digest twice: a text that
 a run in every round. After the last round each partition holds its share of the digests, merged over all rows.
 """
 
+import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.llm.common import SPACES, whole_text
+from creditmill.llm.common import rows_to_arrow
 from creditmill.session import settle, shuffle_width
 
 RUN = "at int, run int, digest binary, n_bytes bigint, keep_id bigint, keep_row bigint, group_size bigint"
@@ -22,6 +24,17 @@ _ARROW = pa.schema([("at", pa.int32()), ("run", pa.int32()), ("digest", pa.binar
                     ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64())])
 
 
+def _digests():
+    """Rows (key, text) to key, digest and length of the text with each run of white space made one space."""
+    spaces = re.compile(rb"[\x20\x09-\x0D]+")
+
+    def row(doc_id, text):
+        plain = spaces.sub(b" ", (text or "").encode())
+        return doc_id, hashlib.sha256(plain).digest(), len(plain)
+
+    return row
+
+
 def _order() -> list[Column]:
     return [F.col("digest"), F.col("n_bytes"), F.col("keep_id").asc_nulls_last(), F.col("keep_row")]
 
@@ -83,10 +96,10 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", f
     is verified on all 256 bits of the digest and the byte length. An empty table gives no rows; other columns of
     `docs`, whatever their names, are neither read nor returned. Texts are never shuffled, only digests.
     """
-    plain = F.regexp_replace(whole_text(text), SPACES, " ")
-    rows = settle(docs.select(F.col(key).cast("bigint").alias("doc_id"), plain.alias("_t"))
-                  .select("doc_id", F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("run"),
-                          F.unhex(F.sha2("_t", 256)).alias("digest"), F.octet_length("_t").cast("bigint").alias("n_bytes")))
+    told = rows_to_arrow(docs.select(F.col(key).cast("bigint"), F.col(text).cast("string")),
+                         "doc_id bigint, digest binary, n_bytes bigint", _digests)
+    rows = settle(told.select("doc_id", F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("run"), "digest",
+                              "n_bytes"))
     first = rows.select(F.lit(0).alias("at"), "run", "digest", "n_bytes", F.col("doc_id").alias("keep_id"),
                         F.col("row").alias("keep_row"), F.lit(1).cast("bigint").alias("group_size"))
     runs = settle(first.sortWithinPartitions("run", *_order()).mapInArrow(_merged, RUN))
