@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from creditmill.llm.common import per_worker, rows_to_arrow
 
-WORDS_HELD = 600_000  # encoded words, and as many chunks, that a task remembers
-PAIRS_HELD = 2_000_000  # tested token pairs that it remembers
+WORDS_HELD = 120_000  # encoded words, and as many chunks, that a task remembers (some 30 MB each)
+PAIRS_HELD = 400_000  # tested token pairs that it remembers (some 40 MB)
 END = 0x400  # added to the character of a word's last byte
 INF = 1 << 60
 # Text of these characters is normalised, split and lower-cased by Python as the library does it; all other text goes
@@ -171,6 +171,11 @@ class Encoder:
         self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
         self.names = {i: t.encode() for i, t in self.vocabulary.names.items()}
 
+    def forget(self) -> None:
+        """Let go of what was remembered; the tables of the vocabulary stay."""
+        self.held, self.words = {}, {}
+        self.vocabulary.fits.clear()
+
     def _word(self, piece: str, shown: str) -> tuple[int, ...]:
         if len(self.words) >= WORDS_HELD:
             self.words.clear()
@@ -235,6 +240,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str
             told = (doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest())
             return (*told, np.frombuffer(ids, "<i4")) if with_ids else told
 
+        row.close = encoder.forget
         return row
 
     return rows_to_arrow(docs.select(F.col(key).cast("bigint"), F.col(text).cast("string")),

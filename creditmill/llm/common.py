@@ -24,8 +24,8 @@ def whole_text(name: str) -> Column:
 
 
 def per_worker(key: tuple, make: Callable):
-    """What `make` builds, kept as long as this Python worker lives. Task functions travel by value, so what they hold in
-    globals of their own would be built anew in each task."""
+    """What `make` builds, kept as long as this Python worker lives: for tables of a fixed size that are slow to build. Task
+    functions travel by value, so what they hold in globals of their own would be built anew in each task."""
     held = sys.modules.setdefault("creditmill_held", types.ModuleType("creditmill_held")).__dict__
     if key not in held:
         held[key] = make()
@@ -35,7 +35,8 @@ def per_worker(key: tuple, make: Callable):
 def rows_to_arrow(df: DataFrame, columns: str, make: Callable[[], Callable[..., tuple]]) -> DataFrame:
     """Map every row in Arrow batches: `make()` runs once per task and returns the row function.
 
-    The row function takes the columns of `df` in order (text as str) and returns one output tuple.
+    The row function takes the columns of `df` in order (text as str) and returns one output tuple. What it remembers goes
+    with the task; if it has a `close`, that is called then.
     """
     schema = df.sparkSession.createDataFrame([], columns).schema
     names = schema.names
@@ -44,14 +45,18 @@ def rows_to_arrow(df: DataFrame, columns: str, make: Callable[[], Callable[...,
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds, row = to_arrow_schema(schema), make()
-        for batch in batches:
-            # slices keep what a task holds small when texts are long
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                out = [row(*r) for r in zip(*(c.to_pylist() for c in part.columns))]
-                if out:
-                    cols = [pa.array(c, kinds.field(i).type) for i, c in enumerate(zip(*out))]
-                    yield pa.RecordBatch.from_arrays(cols, names)
+        try:
+            for batch in batches:
+                # slices keep what a task holds small when texts are long
+                for at in range(0, batch.num_rows, 512):
+                    part = batch.slice(at, 512)
+                    out = [row(*r) for r in zip(*(c.to_pylist() for c in part.columns))]
+                    if out:
+                        cols = [pa.array(c, kinds.field(i).type) for i, c in enumerate(zip(*out))]
+                        yield pa.RecordBatch.from_arrays(cols, names)
+        finally:
+            getattr(row, "close", lambda: None)()
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -24,15 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.llm.common import per_worker, shard_join, shards_for
+from creditmill.llm.common import shard_join, shards_for
 from creditmill.llm.components import components
 from creditmill.session import settle, shuffle_width
 
 SHINGLE = 5
 PERCENT = 75  # similarity from which sets are linked
 BITMAP = 512, 1 << 16  # least and most bits of a bitmap; in between it has twice the set's size, rounded up to a power of two
-WORDS_HELD = 500_000
-CODES_HELD = 4_000_000  # shingles counted at a time in a task
+WORDS_HELD = 250_000  # hashed words that a task remembers (some 45 MB)
+CODES_HELD = 2_000_000  # shingles counted at a time in a task (some 60 MB while they are sorted)
 FREQUENT = 8  # counted documents from which a shingle comes last in the order
 FREQUENT_LIST = 1 << 20  # frequent shingles told to all tasks (16 MB); any others only cost time
 PART = 1024  # classes of a list that are worked on together; longer lists are cut
@@ -109,7 +109,7 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
 def _per_document(make: Callable, out: pa.Schema, flush: Callable | None = None) -> Callable:
     """Arrow function over (id, text) rows that runs make()(id, codes) for each and yields what it returns."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, row = per_worker(("words",), WordHash), make()
+        hashes, row = WordHash(), make()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -121,6 +121,8 @@ def _per_document(make: Callable, out: pa.Schema, flush: Callable | None = None)
                 yield from flush(row, False)
         if flush:
             yield from flush(row, True)
+        del hashes, row
+        pa.default_memory_pool().release_unused()
 
     return run
 

@@ -168,14 +168,21 @@ def language_id(docs: DataFrame, text: str = "text", lang: str = "lang", key: st
 
 def in_known_language(docs: DataFrame, profiles: dict[str, np.ndarray], min_score: float, text: str = "text",
                       top: int = TOP) -> DataFrame:
-    """The rows of `docs` whose text is in one of the languages, that is, scores `min_score` or more."""
+    """The rows of `docs` whose text is in one of the languages, that is, scores `min_score` or more.
+
+    Null text, and text without letters, is in none. All columns stay as they are; an empty table gives no rows. Texts, of any
+    length, are worked on whole, one after the other.
+    """
     schema = docs.schema
     where = docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(profiles, top)
-        for batch in batches:
-            told = [ranker.predict(v) for v in batch.column(where).to_pylist()]
-            yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in told], pa.bool_()))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):  # slices keep what a task holds small when texts are long
+                batch = whole.slice(at, 256)
+                told = [ranker.predict(v) for v in batch.column(where).to_pylist()]
+                yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in told], pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)

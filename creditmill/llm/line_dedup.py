@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.llm.common import meet, per_worker, rows_to_arrow, shard_join, shards_for
+from creditmill.llm.common import meet, rows_to_arrow, shard_join, shards_for
 from creditmill.llm.jaccard_join import WordHash
 from creditmill.session import settle, shuffle_width
 
@@ -187,8 +187,8 @@ def _lines(docs: DataFrame, near_words: int, edits: Edits) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        hashes, powers = per_worker(("words",), WordHash), per_worker(("powers",), Powers)
-        held = per_worker(("places", edits), dict)
+        hashes, powers = WordHash(), Powers()
+        held = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
@@ -236,7 +236,7 @@ def _numbered(docs: DataFrame, first: DataFrame) -> DataFrame:
 def _near_pairs(lines: DataFrame) -> DataFrame:
     """(no, earlier): a line and the earliest line of each of its keys, not yet verified."""
     def make():
-        hashes, powers = per_worker(("words",), WordHash), per_worker(("powers",), Powers)
+        hashes, powers = WordHash(), Powers()
 
         def row(no, text):
             told = LineHash(text.encode().split(), hashes, powers)
@@ -262,8 +262,8 @@ def _near_pairs(lines: DataFrame) -> DataFrame:
 def _piece_pairs(lines: DataFrame, edits: Edits) -> DataFrame:
     """(no, earlier): lines of which the longer holds a piece of the shorter where the bound allows, not yet verified."""
     def make():
-        hashes, powers = per_worker(("words",), WordHash), per_worker(("powers",), Powers)
-        held = per_worker(("places", edits), dict)
+        hashes, powers = WordHash(), Powers()
+        held = {}
 
         def row(no, text):
             return no, *piece_keys(text.encode().split(), edits, hashes, powers, held)

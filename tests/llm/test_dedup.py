@@ -48,18 +48,20 @@ def test_exact_empty(documents):
 
 
 def brute_lines(rows, near_words=8):
-    """Rows in document order, by comparing each line with all earlier ones."""
-    seen, out = [], {}
+    """Rows in document order, by comparing each line with all earlier ones whose number of words allows an edit."""
+    texts, by_size, out = set(), {}, {}
     for i, text in rows:
         kept, exact, near = [], 0, 0
         for line in text.split("\n"):
             words = line.encode().split()
-            if words and any(line == s for s, _ in seen):
+            if words and line in texts:
                 exact += 1
                 continue
-            close = len(words) >= near_words and any(len(w) >= near_words and distance(words, w) <= 1 for _, w in seen)
+            n = len(words)
+            close = n >= near_words and any(within_one(words, w) for m in (n - 1, n, n + 1) if m >= near_words for w in by_size.get(m, []))
             if words:
-                seen.append((line, words))
+                texts.add(line)
+                by_size.setdefault(n, []).append(words)
             if close:
                 near += 1
             else:
@@ -68,6 +70,14 @@ def brute_lines(rows, near_words=8):
     return out
 
 
+def within_one(a, b):
+    """Edit distance of at most one, from what is left between equal starts and equal ends."""
+    start = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    a, b = a[start:], b[start:]
+    end = next((k for k, (x, y) in enumerate(zip(reversed(a), reversed(b))) if x != y), min(len(a), len(b)))
+    return distance(a[:len(a) - end], b[:len(b) - end]) <= 1 if max(len(a), len(b)) - end <= 1 else False
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -77,6 +87,14 @@ def distance(a, b):
     return row[-1]
 
 
+def test_brute_force_within_one_is_the_distance():
+    rng = random.Random(9)
+    for _ in range(4000):
+        a = [rng.choice("ab") for _ in range(rng.randint(0, 6))]
+        b = [rng.choice("ab") for _ in range(rng.randint(0, 6))]
+        assert within_one(a, b) == (distance(a, b) <= 1)
+
+
 def edited(rng, words):
     words = list(words)
     for _ in range(rng.choice([0, 1, 1, 1, 2])):
