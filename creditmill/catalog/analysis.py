@@ -74,6 +74,14 @@ def column_drift(spark, sf_dir):
     return rounded(drift.column_drift(*_halves(spark, sf_dir)))
 
 
+def drift_from_profile(spark, sf_dir):
+    """The reference comes from a stored profile of two parts; of the rows only the current ones are read."""
+    (old, new), path = _halves(spark, sf_dir), scratch_path(spark, "profile")
+    for part, rows in (("a", old.filter(F.col("int_rate") < 12)), ("b", old.filter(~F.coalesce(F.col("int_rate") < 12, F.lit(False))))):
+        drift.add_to_profile(rows, path, part)
+    return rounded(drift.drift_from_profile(drift.read_profile(spark, path), new))
+
+
 def dataset_drift(spark, sf_dir):
     return rounded(drift.dataset_drift(drift.column_drift(*_halves(spark, sf_dir))))
 
@@ -131,6 +139,7 @@ QUERIES = {
     "model_comparison": lambda s, d: rounded(metrics.model_comparison(leaderboard(s, d))),
     "select_best_model": lambda s, d: rounded(metrics.select_best_model(leaderboard(s, d))),
     "column_drift": column_drift, "dataset_drift": dataset_drift, "drift_report": drift_report,
+    "drift_from_profile": drift_from_profile,
 }
 
 _rate = "ROUND(AVG(is_default)*100,2) AS default_rate_pct"
@@ -383,6 +392,7 @@ ORACLES = {
         extra=f"{_cand}, {_cells}, {_steps}, {_board}"),
     "column_drift": oracle(_drift_rows, "clean", extra=_drift),
     "drift_report": oracle(_drift_rows, "clean", extra=_drift),
+    "drift_from_profile": oracle(_drift_rows, "clean", extra=_drift),
     "dataset_drift": oracle(
         """SELECT n_columns, n_drifted, ROUND(n_drifted/n_columns,6) AS drifted_share,
            n_drifted/n_columns>=0.5 AS dataset_drifted FROM (SELECT COUNT(*) AS n_columns,

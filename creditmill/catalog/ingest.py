@@ -61,6 +61,15 @@ def warehouse_projection(spark, sf_dir):
     return rounded(files.warehouse_projection(clean_loans(spark, sf_dir)))
 
 
+def load_warehouse(spark, sf_dir):
+    """The warehouse table, replaced by one half of the loans and then appended the other, read back by SQL."""
+    loans, name = clean_loans(spark, sf_dir), "creditmill_warehouse"
+    path = scratch_path(spark, "warehouse")
+    files.load_warehouse(loans.filter(F.col(S.KEY) % 2 == 0), name, dependents=(), path=path)
+    files.load_warehouse(loans.filter(F.col(S.KEY) % 2 == 1), name, mode="append", path=path)
+    return rounded(files.run_sql(spark, "SELECT * FROM {t}", t=spark.read.parquet(path)))
+
+
 def run_sql(spark, sf_dir):
     text = """SELECT grade, purpose, COUNT(*) AS n, ROUND(AVG(loan_amnt),2) AS avg_loan FROM {loans}
               WHERE annual_inc >= :income GROUP BY grade, purpose"""
@@ -153,7 +162,7 @@ _base = (_ratios, _credit)
 QUERIES = {
     "read_loans_csv": read_loans_csv, "write_clean": write_clean, "run_ingestion": run_ingestion,
     "save_features": save_features, "feature_set_metadata": feature_set_metadata,
-    "warehouse_projection": warehouse_projection, "run_sql": run_sql, "table_contracts": table_contracts,
+    "warehouse_projection": warehouse_projection, "load_warehouse": load_warehouse, "run_sql": run_sql, "table_contracts": table_contracts,
     "append_predictions": append_predictions, "join_features_to_loans": join_features_to_loans,
     "filter_loan_status": filter_loan_status, "binary_target": binary_target,
     "drop_leaky_columns": drop_leaky_columns, "clean_percentages": clean_percentages,
@@ -191,6 +200,9 @@ ORACLES = {
     "warehouse_projection": oracle(
         "SELECT " + ", ".join(c if c in S.WAREHOUSE_TEXT or c == S.TARGET else r6(c) for c in S.WAREHOUSE)
         + " FROM clean", "clean"),
+    "load_warehouse": oracle(
+        "SELECT " + ", ".join(c if c in S.WAREHOUSE_TEXT or c == S.TARGET else r6(c) for c in S.WAREHOUSE)
+        + " FROM clean", "clean"),
     "run_sql": oracle("""SELECT grade, purpose, COUNT(*) AS n, ROUND(AVG(loan_amnt),2) AS avg_loan FROM clean
                          WHERE annual_inc >= 50000 GROUP BY grade, purpose""", "clean"),
     "table_contracts": oracle(

@@ -1,7 +1,8 @@
 """Trained models, calibration, batch and stream scoring, attributions, at the operators' own settings.
 
 The tuning search has fewer trials than by default: two, from the full ranges. `credit_pipeline` runs the one job from loan
-file to drift report with three of the six models, because its fits come on top of each other (see README for the times).
+file to drift report with three of the six models, because its fits come on top of each other (see README for the times), and
+`train_smote` and `train_adasyn` fit the same three.
 `select_features` returns ten raw columns, as its SQL says; `select_features_of_model` takes the defaults.
 """
 
@@ -49,6 +50,14 @@ def train_all_undersampled(spark, sf_dir):
     return models.train_all(train, test, used, sampling_method="undersample")[0]
 
 
+def _train_resampled(method):
+    """Leaderboard of the quick models, trained on rows that an oversampler has balanced."""
+    def run(spark, sf_dir):
+        train, test, used = frames(spark, sf_dir)
+        return models.train_all(train, test, used, names=JOB_MODELS, sampling_method=method)[0]
+    return run
+
+
 def log_run(spark, sf_dir):
     path = scratch_path(spark, "runs")
     train, test, used = frames(spark, sf_dir)
@@ -183,7 +192,8 @@ QUERIES = {
     "train_logistic": _train("LogisticRegression"), "train_decision_tree": _train("DecisionTree"),
     "train_gaussian_nb": _train("NaiveBayes"), "train_random_forest": _train("RandomForest"),
     "train_gbt": _train("GradientBoosting"), "train_weighted_gbt": _train("WeightedBoosting"),
-    "train_all": train_all, "train_all_undersampled": train_all_undersampled, "log_run": log_run,
+    "train_all": train_all, "train_all_undersampled": train_all_undersampled,
+    "train_smote": _train_resampled("smote"), "train_adasyn": _train_resampled("adasyn"), "log_run": log_run,
     "save_model": save_model, "predict_pd": predict_pd, "tune_gbt": tune_gbt,
     "calibrate_isotonic": calibrate_isotonic, "credit_pipeline": credit_pipeline, "predict_batch": predict_batch, "score_stream": score_stream,
     "mutual_information": mutual_information, "select_features": select_features,

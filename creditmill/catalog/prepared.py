@@ -241,7 +241,8 @@ ORACLES = {
     "preprocess": oracle(_all_body, "clean", extra=_all_extra),
     "preprocess_on_train": oracle(_train_body, "clean", extra=_train + _train_extra),
     "stratified_split": oracle(_split, "clean"),
-    "stratified_folds": oracle(f"SELECT loan_id, is_default, CAST((i-1)%5 AS INT) AS fold FROM ({_ranked})", "clean"),
+    "stratified_folds": oracle(f"""SELECT loan_id, is_default, CAST((i>n//5)::INT+(i>n*2//5)::INT+(i>n*3//5)::INT+(i>n*4//5)::INT AS INT)
+        AS fold FROM (SELECT *, COUNT(*) OVER (PARTITION BY is_default) AS n FROM ({_ranked}))""", "clean"),
     "fixed_sample": oracle(f"SELECT loan_id, loan_amnt FROM clean ORDER BY {_md5}, loan_id LIMIT 5000", "clean"),
     "undersample": oracle(f"""SELECT loan_id, is_default FROM ({_ranked}) WHERE i<=(SELECT MIN(c) FROM
         (SELECT COUNT(*) AS c FROM clean GROUP BY is_default))""", "clean"),

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditmill import schema as S
@@ -38,13 +38,45 @@ def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
     (Jensen-Shannon distance for columns of at most five values), drifted from 0.1 on; else Kolmogorov-Smirnov, p < 0.05.
     Any other name fixes the test. Both frames are read once; everything follows from counts per distinct value.
     """
+    columns = [c for c in columns if c in reference.columns and c in current.columns]
+    rows = ranks.long_values(reference, columns)
+    return _compared(rows.withColumn("n", F.lit(1).cast("bigint")), current, columns, test)
+
+
+def profile(df: DataFrame, columns: Sequence[str] = tuple(S.NUMERICAL)) -> DataFrame:
+    """(column, value, n): how often each value occurs, all a drift test needs to know of a reference."""
+    columns = [c for c in columns if c in df.columns]
+    return ranks.long_values(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
+def add_to_profile(df: DataFrame, path: str, part: str, columns: Sequence[str] = tuple(S.NUMERICAL)) -> None:
+    """Store the profile of some rows as one part of a reference. Parts add up; storing a part again replaces it."""
+    profile(df, columns).write.mode("overwrite").parquet(f"{path.rstrip('/')}/part={part}")
+
+
+def read_profile(spark: SparkSession, path: str) -> DataFrame:
+    """The stored parts; a value that several parts hold has a row in each."""
+    return spark.read.parquet(path).select("column", "value", "n")
+
+
+def drift_from_profile(reference: DataFrame, current: DataFrame, columns: Sequence[str] = tuple(S.NUMERICAL),
+                       test: str = "auto") -> DataFrame:
+    """As `column_drift`, from the stored profile of the reference: of the rows only the current ones are read.
+
+    Columns without a value in the profile (all were NULL, or it was not profiled) are left out.
+    """
+    columns = [c for c in columns if c in current.columns]
+    return _compared(reference.filter(F.col("column").isin(columns)), current, columns, test).filter("n_reference > 0")
+
+
+def _compared(reference: DataFrame, current: DataFrame, columns: Sequence[str], test: str) -> DataFrame:
+    """`reference` has (column, value, n), several rows a value if need be; `current` is a frame."""
     if test not in TESTS:
         raise ValueError(f"unknown test: {test}")
-    columns = [c for c in columns if c in reference.columns and c in current.columns]
-    both = (ranks.long_values(reference, columns).withColumn("is_ref", F.lit(1))
-            .unionByName(ranks.long_values(current, columns).withColumn("is_ref", F.lit(0))))
-    counts = settle(both.groupBy("column", "value").agg(F.sum("is_ref").alias("ref"),
-                                                        F.sum(1 - F.col("is_ref")).alias("cur")))
+    none = F.lit(0).cast("bigint")
+    both = (reference.select("column", "value", F.col("n").alias("ref"), none.alias("cur"))
+            .unionByName(ranks.long_values(current, columns).select("column", "value", none.alias("ref"), F.lit(1).cast("bigint").alias("cur"))))
+    counts = settle(both.groupBy("column", "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))
     steps = ranks.cumulate(counts, "value", ["ref", "cur"], ["column"], with_next=True)
     c = F.col
     gap = F.abs(share_or_zero("upto_ref", "total_ref") - share_or_zero("upto_cur", "total_cur"))
@@ -58,10 +90,10 @@ def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
         F.count_if(c("ref") > 0).alias("n_values"), F.sum(gap * width).alias("w1"), F.max(gap).alias("ks"),
         F.sum((bits(p) + bits(q)) / 2).alias("divergence"))
     # one row per column; moments about the mean keep the deviation exact for large numbers
-    mean = counts.groupBy("column").agg((F.sum(c("ref") * c("value")) / F.sum("ref")).alias("mean"))
+    mean = counts.groupBy("column").agg(F.try_divide(F.sum(c("ref") * c("value")), F.sum("ref")).alias("mean"))
     far = (c("value") - c("mean")) * (c("value") - c("mean"))
     spread = (counts.join(F.broadcast(mean), "column").groupBy("column")
-              .agg(F.sqrt(F.sum(c("ref") * far) / F.sum("ref")).alias("reference_std")))
+              .agg(F.sqrt(F.try_divide(F.sum(c("ref") * far), F.sum("ref"))).alias("reference_std")))
     joined = found.join(F.broadcast(spread), "column")
     large = c("n_reference") > LARGE_REFERENCE
     few = c("n_values") <= FEW_VALUES

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from creditmill.functions.columns import ordered_hash
+from creditmill.functions.columns import any_of, ordered_hash
 from creditmill.session import settle, shuffle_width
 
 SPLIT_SAMPLE = 16
@@ -258,41 +258,39 @@ def seeded_positions(df: DataFrame, key: str, seed, by: Sequence[str] = (), name
             .drop("_hash", "_range", "_off"))
 
 
-def hash_cut(df: DataFrame, key: str, seed, by: str, sizes: dict) -> Column:
-    """Condition that holds for exactly `sizes[g]` rows of each group g: the smallest seeded hashes.
+def hash_cuts(df: DataFrame, key: str, seed, by: str, sizes: dict) -> dict:
+    """(group, size) -> the bound below which exactly `size` rows of the group have their seeded hash.
 
-    Radix selection over hash prefixes finds each group's cut-off from counts alone, so the
-    rows themselves are never shuffled or sorted.
+    `sizes` has several per group, and all are found at once: radix selection over hash prefixes needs counts alone, so rows
+    are never shuffled or sorted. Each pass counts 4096 cells around every cut that is still open. A group with fewer rows
+    than wanted gets a bound above all hashes.
     """
     hashed = df.select(F.col(by).alias("_g"), ordered_hash(key, seed).alias("_hash"))
-    open_groups = {g: (0, need) for g, need in sizes.items() if need > 0}  # group -> (prefix floor, rows wanted)
-    cuts = {}
+    cuts = {(g, n): 0 for g, wanted in sizes.items() for n in wanted}
+    still = {(g, n): (0, n) for g, n in cuts if n > 0}  # prefix floor, rows wanted above it
     for shift in (48, 36, 24, 12, 0):
-        if not open_groups:
+        if not still:
             break
-        span = 1 << (shift + 12)
-        alive = F.lit(False)
-        for g, (floor, _) in open_groups.items():
-            alive = alive | ((F.col("_g") == F.lit(g)) & (F.col("_hash") >= floor) & (F.col("_hash") < floor + span))
-        cells = (hashed.filter(alive).groupBy("_g", F.shiftright("_hash", shift).alias("_cell"))
+        span = shift + 12
+        alive = any_of([(F.col("_g") == F.lit(g)) & (F.shiftright("_hash", span) == (floor >> span))
+                        for g, floor in {(g, floor) for (g, _), (floor, _) in still.items()}])
+        cells = (hashed.filter(alive).groupBy("_g", F.shiftright("_hash", span).alias("_prefix"), F.shiftright("_hash", shift).alias("_cell"))
                  .agg(F.count("*").alias("_n")))
-        upto = W.partitionBy("_g").orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)
-        want = F.create_map(*[F.lit(x) for g, (_, need) in open_groups.items() for x in (g, need)])
-        edge = (cells.withColumn("_upto", F.sum("_n").over(upto))
-                .filter((F.col("_upto") >= want[F.col("_g")]) & (F.col("_upto") - F.col("_n") < want[F.col("_g")])))
-        found = {r["_g"]: r for r in edge.collect()}  # one row per group
-        for g, (floor, need) in list(open_groups.items()):
-            if g not in found:  # fewer rows than wanted: take the whole group
-                cuts[g] = 1 << 60
-                del open_groups[g]
-                continue
-            row = found[g]
-            if row["_upto"] == need or shift == 0:
-                cuts[g] = (row["_cell"] + 1) << shift
-                del open_groups[g]
+        upto = W.partitionBy("_g", "_prefix").orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)  # at most 4096 cells
+        edge = any_of([(F.col("_g") == F.lit(g)) & (F.col("_prefix") == (floor >> span)) & (F.col("_upto") >= need)
+                       & (F.col("_upto") - F.col("_n") < need) for (g, _), (floor, need) in still.items()])
+        rows = cells.withColumn("_upto", F.sum("_n").over(upto)).filter(edge).collect()  # at most one per cut
+        for (g, n), (floor, need) in list(still.items()):
+            row = next((r for r in rows if r["_g"] == g and r["_prefix"] == floor >> span and r["_upto"] - r["_n"] < need <= r["_upto"]), None)
+            if row is None or row["_upto"] == need or shift == 0:
+                cuts[g, n] = 1 << 60 if row is None else (row["_cell"] + 1) << shift
+                del still[g, n]
             else:
-                open_groups[g] = (row["_cell"] << shift, need - (row["_upto"] - row["_n"]))
-    hit = F.lit(False)
-    for g, limit in cuts.items():
-        hit = hit | ((F.col(by) == F.lit(g)) & (ordered_hash(key, seed) < F.lit(limit)))
-    return hit
+                still[g, n] = (row["_cell"] << shift, need - (row["_upto"] - row["_n"]))
+    return cuts
+
+
+def hash_cut(df: DataFrame, key: str, seed, by: str, sizes: dict) -> Column:
+    """Condition that holds for exactly `sizes[g]` rows of each group g: the smallest seeded hashes."""
+    cuts = hash_cuts(df, key, seed, by, {g: [n] for g, n in sizes.items() if n > 0})
+    return any_of([(F.col(by) == F.lit(g)) & (ordered_hash(key, seed) < F.lit(limit)) for (g, _), limit in cuts.items()])

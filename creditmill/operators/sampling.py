@@ -22,9 +22,19 @@ def stratified_split(df: DataFrame, y: str = S.TARGET, test_share: float = S.TES
 
 def stratified_folds(df: DataFrame, y: str = S.TARGET, k: int = 5, seed: int = S.SEED,
                      key: str = S.KEY) -> DataFrame:
-    """Add `fold` 0..k-1, dealt out round-robin within each class."""
-    placed = ranks.seeded_positions(df, key, seed, [y], "_pos")
-    return placed.withColumn("fold", (F.col("_pos") % k).cast("int")).drop("_pos")
+    """Add `fold` 0..k-1: each class, ordered by seeded hash, is cut into k parts whose sizes differ by one at most.
+
+    The k - 1 cut-offs of all classes come from counts, so marking the rows is a projection and no row is shuffled. Rows
+    without a class are dealt out by their hash alone.
+    """
+    needs = {g: [n * i // k for i in range(1, k)] for g, n in class_counts(df, y).items() if g is not None}
+    cuts = ranks.hash_cuts(df, key, seed, y, needs)
+    place = ordered_hash(key, seed)
+    fold = F.pmod(place, F.lit(k))
+    for g, wanted in needs.items():
+        before = sum((F.when(place >= F.lit(cuts[g, n]), 1).otherwise(0) for n in wanted), F.lit(0))
+        fold = F.when(F.col(y) == F.lit(g), before).otherwise(fold)
+    return df.withColumn("fold", fold.cast("int"))
 
 
 def fixed_sample(df: DataFrame, n: int, seed: int = S.SEED, key: str = S.KEY) -> DataFrame:

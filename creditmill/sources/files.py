@@ -76,13 +76,14 @@ def warehouse_projection(df: DataFrame) -> DataFrame:
 
 
 def load_warehouse(df: DataFrame, table: str = "raw_loans", mode: str = "replace",
-                   dependents: Sequence[str] = ("predictions", "feature_store")) -> None:
-    """Write the projection to a catalog table. Replacing it drops the tables that refer to it."""
+                   dependents: Sequence[str] = ("predictions", "feature_store"), path: str | None = None) -> None:
+    """Write the projection to a catalog table, kept under `path` if given. Replacing it drops the tables that refer to it."""
     spark = df.sparkSession
     if mode == "replace":
         for name in dependents:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-    warehouse_projection(df).write.mode("overwrite" if mode == "replace" else "append").saveAsTable(table)
+    writer = warehouse_projection(df).write.mode("overwrite" if mode == "replace" else "append")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def load_jdbc(df: DataFrame, url: str, table: str = "raw_loans", mode: str = "replace", **options) -> None:

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from creditmill.operators import eda, lookup, ranks
+from creditmill.functions.columns import ordered_hash
+from creditmill.operators import eda, lookup, ranks, sampling
 
 RNG = np.random.default_rng(7)
 N = 3000
@@ -115,3 +116,27 @@ def test_attach_beyond_the_broadcast_bound(spark, data):
     small = lookup.attach(left, table, "few").select("loan_id", "few", "n")
     large = lookup.attach(left, table, "few", max_rows=1).select("loan_id", "few", "n")
     assert sorted(small.collect()) == sorted(large.collect()) and large.count() == N
+
+
+def test_hash_cuts_of_several_sizes(spark):
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 7 == 0, 1).when(F.col("id") % 1000 == 3, F.lit(None)).otherwise(0).alias("g"))
+    wanted = {0: [0, 1, 17, 2000, 10**6], 1: [300, 714, 715]}
+    cuts = ranks.hash_cuts(rows, "id", 5, "g", wanted)
+    assert set(cuts) == {(g, n) for g, several in wanted.items() for n in several}
+    for (g, n), limit in cuts.items():
+        size = rows.filter(F.col("g") == g).count()
+        assert rows.filter((F.col("g") == g) & (ordered_hash("id", 5) < F.lit(limit))).count() == min(n, size)
+    assert ranks.hash_cuts(rows, "id", 5, "g", {}) == {}
+    assert rows.filter(ranks.hash_cut(rows, "id", 5, "g", {0: 0})).count() == 0
+
+
+def test_folds_shuffle_no_row(spark):
+    rows = spark.range(1003).select(F.col("id").alias("loan_id"), F.when(F.col("id") % 9 == 0, 1).otherwise(0).alias("is_default"),
+                                    F.lit("wide").alias("x"))
+    rows = rows.unionByName(spark.createDataFrame([(2000, None, "y")], "loan_id bigint, is_default int, x string"))
+    placed = sampling.stratified_folds(rows, k=4)
+    assert "Exchange" not in placed._jdf.queryExecution().executedPlan().toString()
+    sizes = {(r["is_default"], r["fold"]): r["count"] for r in placed.groupBy("is_default", "fold").count().collect()}
+    for g, n in ((0, 891), (1, 112)):
+        assert [sizes[g, k] for k in range(4)] == [n * (k + 1) // 4 - n * k // 4 for k in range(4)]
+    assert sum(n for (g, _), n in sizes.items() if g is None) == 1 and {k for _, k in sizes} <= set(range(4))
