@@ -50,18 +50,19 @@ def permutation_importance(df: DataFrame, features: Sequence[str], y: str = S.TA
                            **forest) -> DataFrame:
     """(feature, score): accuracy a forest loses when one feature is shuffled, mean of `repeats`.
 
-    A shuffle pairs the rows at equal positions of two seeded orders; one pairing serves all features.
+    Rows are numbered as they are stored, and a seeded permutation of the numbers names each row's donor; one pairing serves
+    all features. Donors are shuffled once for all repeats, rows once a repeat.
     """
     filled = df.select(key, y, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     model = models.train("RandomForest", filled, features, y, weight=False, seed=seed,
                          **{"numTrees": 100, **forest})
     point = F.struct(*features)
     tries = []
+    rows, n = ranks.numbered(filled.select(y, point.alias("own")))
+    donors = rows.select(F.col("position").alias("donor"), F.col("own").alias("given"))
     for i in range(repeats):
-        here = ranks.seeded_positions(filled.select(key, y, point.alias("own")), key, f"{seed}.{i}.a")
-        there = ranks.seeded_positions(filled.select(F.col(key).alias("_other"), point.alias("given")), "_other",
-                                       f"{seed}.{i}.b")
-        tries.append(here.join(there, "position").select(y, "own", "given"))
+        here = rows.select(y, "own", ranks.bijection(F.col("position"), n, f"{seed}.{i}").alias("donor"))
+        tries.append(here.join(donors, "donor").select(y, "own", "given"))
     swapped = reduce(DataFrame.unionByName, tries)
     fanned = swapped.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
     mixed = fanned.select(y, "feature", *[

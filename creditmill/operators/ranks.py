@@ -5,10 +5,11 @@ about as many ranges as there are shuffle partitions. Range totals are prefix-su
 of (keys x ranges) rows and joined back, and the running window stays inside one range.
 """
 
+import random
 from bisect import bisect_right
 from collections.abc import Sequence
 from itertools import accumulate
-from math import ceil, floor, sqrt
+from math import ceil, floor, gcd, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -258,6 +259,28 @@ def seeded_positions(df: DataFrame, key: str, seed, by: Sequence[str] = (), name
             .drop("_hash", "_range", "_off"))
 
 
+def numbered(df: DataFrame, name: str = "position") -> tuple[DataFrame, int]:
+    """(rows with positions 0 to n - 1, n): rows keep the order they are stored in, and none is shuffled.
+
+    Stored once with their place in their partition; what precedes a partition comes from one count per partition.
+    """
+    rows = settle(df.withColumn("_at", F.monotonically_increasing_id()))
+    sizes = {r["_part"]: r["_n"] for r in rows.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count("*").alias("_n")).collect()}
+    starts = dict(zip(sorted(sizes), accumulate([0] + [sizes[p] for p in sorted(sizes)])))  # one row per partition
+    before = df.sparkSession.createDataFrame(list(starts.items()) or [(0, 0)], "_part bigint, _before bigint")
+    told = rows.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(before), "_part")
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before")
+    return told.withColumn(name, place).drop("_at", "_part", "_before"), sum(sizes.values())
+
+
+def bijection(position: Column, n: int, seed) -> Column:
+    """A seeded permutation of the positions 0 to n - 1, as a function of the position alone."""
+    draw = random.Random(str(seed))
+    most = max(1, min(n - 1, (1 << 62) // max(n, 1) - 1))  # products stay within a long
+    factor = next(a for a in iter(lambda: draw.randint(1, most), 0) if gcd(a, n) == 1 or most == 1)
+    return F.pmod(position * F.lit(factor) + F.lit(draw.randrange(max(n, 1))), F.lit(max(n, 1)))
+
+
 def hash_cuts(df: DataFrame, key: str, seed, by: str, sizes: dict) -> dict:
     """(group, size) -> the bound below which exactly `size` rows of the group have their seeded hash.
 

@@ -140,3 +140,20 @@ def test_folds_shuffle_no_row(spark):
     for g, n in ((0, 891), (1, 112)):
         assert [sizes[g, k] for k in range(4)] == [n * (k + 1) // 4 - n * k // 4 for k in range(4)]
     assert sum(n for (g, _), n in sizes.items() if g is None) == 1 and {k for _, k in sizes} <= set(range(4))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 97, 1000, 4096])
+def test_donors_are_a_permutation(spark, n):
+    rows, size = ranks.numbered(spark.range(n).repartition(5).withColumn("x", F.col("id") * 2))
+    told = rows.select("position", "x", *[ranks.bijection(F.col("position"), size, f"7.{i}").alias(f"d{i}") for i in range(3)]).collect()
+    assert size == n and sorted(r["position"] for r in told) == list(range(n)) and sorted(r["x"] for r in told) == list(range(0, 2 * n, 2))
+    for i in range(3):
+        assert sorted(r[f"d{i}"] for r in told) == list(range(n))
+    if n > 90:
+        assert len({tuple(r[f"d{i}"] for r in told) for i in range(3)}) == 3
+
+
+def test_permutations_of_very_many_positions(spark):
+    n = 3 * 10**11
+    near = spark.range(1000).select(ranks.bijection(n - 1 - F.col("id"), n, 1).alias("d")).collect()
+    assert len({r["d"] for r in near}) == 1000 and all(0 <= r["d"] < n for r in near)
