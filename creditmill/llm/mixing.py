@@ -6,6 +6,7 @@ copy to those with the smallest seeded hashes, up to the word count that the fra
 """
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -101,7 +102,7 @@ def _cuts(sizes: DataFrame, sources: DataFrame, n_sources: int) -> DataFrame:
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, epochs: float = 2.0,
         text: str = "text", source: str = "source", key: str = "doc_id", seed: int = 7) -> DataFrame:
-    """`docs` with added columns size, source_size, target and copies (0 up to the number of epochs).
+    """`docs` with added columns size, source_size, target and copies (0 up to the number of epochs, rounded up).
 
     `size` counts the words `[^\\x20\\x09-\\x0D]+` of the whole text, null text has none. The sources in code point
     order, null last, weigh `weights`, repeated, and share `budget` times all words; a target stops at `epochs` times
@@ -110,10 +111,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1
     named like an added column are replaced. An empty table gives an empty result. The words that a source gives
     differ from its target by at most half the size of one key's rows.
     """
-    named = docs.drop("size", "source_size", "target", "copies")
     seeded = F.when(F.col(key).isNull(), F.lit("")).otherwise(F.col(key).cast("string"))
-    marked = (named.withColumn("_hash", ordered_hash(seeded, seed)).withColumn("_source", F.col(source))
-              .withColumn("_size", word_count(text)))
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    # the columns of `docs` travel in a struct, so that none can clash with a name used here
+    marked = docs.select(F.struct(*own).alias("_doc"), ordered_hash(seeded, seed).alias("_hash"), F.col(source).alias("_source"),
+                         word_count(text).alias("_size"))
     sizes = settle(marked.select("_hash", "_source", "_size"))
     sources = _weighted(sizes, weights)
     level = water_level(sources, budget, epochs)
@@ -125,8 +127,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1
     whole = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
     more = (F.col("_hash") <= F.col("_cut")).cast("bigint")
     return (_of_source(marked, settle(plan.drop("_hash")), n_sources)
-            .withColumn("copies", F.least(whole + more, F.lit(int(epochs))).cast("bigint"))
-            .withColumnRenamed("_size", "size").drop("_hash", "_source", "_cut"))
+            .select("_doc.*", F.col("_size").alias("size"), "source_size", "target",
+                    F.least(whole + more, F.lit(ceil(epochs))).cast("bigint").alias("copies")))
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:

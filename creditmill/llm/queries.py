@@ -194,10 +194,11 @@ WITH RECURSIVE p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, ''
                   CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 q AS (SELECT *, coalesce({_OP7_KEY.format(u='rest')}, '') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
              regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail FROM p),
-l AS (SELECT host || tail AS a, url, host, path, unnest([
-        regexp_extract(regexp_extract(html, '(?i)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
-        regexp_extract(regexp_extract(html, '(?i)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1)
-      ]) AS raw FROM q WHERE host <> ''),
+l AS (SELECT host || tail AS a, url, host, path, unnest(list_concat(
+        list_transform(regexp_extract_all(html, '(?i)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'),
+                       lambda t: regexp_extract(t, '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)),
+        list_transform(regexp_extract_all(html, '(?i)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'),
+                       lambda t: regexp_extract(t, '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1)))) AS raw FROM q WHERE host <> ''),
 r AS (SELECT a, replace(raw, '&amp;', '&') AS href, regexp_extract(url, '^[^:/?#]*://[^/?#]*') AS root,
              regexp_extract(path, '^(.*/)?', 0) AS folder FROM l WHERE raw <> ''),
 t AS (SELECT a, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN substr(href, instr(href, '://') + 3)

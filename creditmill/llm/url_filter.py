@@ -68,10 +68,11 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Canonical-link and refresh edges between URL keys, with the target's URL."""
-    base, body = F.col(url).cast("string"), F.col(html).cast("string")
-    hrefs = F.array(F.regexp_extract(F.regexp_extract(body, CANONICAL, 0), HREF, 1),
-                    F.regexp_extract(F.regexp_extract(body, REFRESH, 0), TARGET, 1))
+    """Edges between URL keys of all canonical links and refreshes of a page, with the target's URL."""
+    base, body = F.col(url).cast("string"), F.coalesce(F.col(html).cast("string"), F.lit(""))
+    canonical, refresh = (F.regexp_extract_all(body, F.lit(tag), F.lit(0)) for tag in (CANONICAL, REFRESH))
+    hrefs = F.concat(F.transform(canonical, lambda t: F.regexp_extract(t, HREF, 1)),
+                     F.transform(refresh, lambda t: F.regexp_extract(t, TARGET, 1)))
     found = pages.select(base.alias("_url"), F.explode(F.filter(hrefs, lambda h: h != "")).alias("_href"))
     told = found.select(key_of(F.col("_url")).alias("a"), resolved(F.col("_href"), F.col("_url")).alias("target"))
     return told.withColumn("b", key_of(F.col("target"))).dropna(subset=["a", "b"]).filter("a <> b")
@@ -82,7 +83,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, redirects: DataFrame
     """One row per row of `pages`: page_id, host, path, rule, verdict, component.
 
     `redirects` may add edges as rows (from_url, to_url), such as HTTP redirects that a crawler logged. A null URL, or one
-    without ://, has empty host and path, fits no rule, has no aliases and is allowed; null html has no links. Rows that
+    without ://, has empty host and path, fits no rule, has no aliases and is allowed; null html has no links, and a page with several has them all. Rows that
     repeat a URL get the same verdict; ties between rules go to the longer host, then to allow. An empty table gives no
     rows; other columns are not read. `component` is the smallest alias, null for URLs without aliases.
     """

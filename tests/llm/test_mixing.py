@@ -81,3 +81,21 @@ def test_edges(documents):
 def test_main_path_is_native(documents):
     plan = mixing.mixture(documents(rows(5, 50)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("epochs", [2.5, 1.25, 0.5])
+def test_fractional_epochs_reach_their_target(documents, epochs):
+    data = [(i, "w " * 10, "en", "zsmall" if i < 200 else "large") for i in range(2000)]
+    got = mixing.mix(documents(data), weights=(1, 30), budget=1.5, epochs=epochs).collect()
+    small = [r for r in got if r.source == "zsmall"]
+    assert {r.target for r in small} == {epochs * 2000}  # capped
+    assert sum(r.size * r.copies for r in got if r.source == "zsmall") * 1.0 == pytest.approx(epochs * 2000, abs=10)
+    assert max(r.copies for r in small) <= -(-epochs // 1)
+
+
+def test_columns_named_as_inside_stay(spark):
+    schema = "doc_id bigint, text string, source string, _hash string, _source string, _size int, _cut string, _doc string, _weight int"
+    rows = [(i, "a b", "s", "h", "o", 7, "c", "d", 9) for i in range(5)]
+    got = mixing.mix(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(tuple(r)[:9] for r in got) == rows and {(r["size"], r["source_size"]) for r in got} == {(2, 10)}
+    assert {tuple(r) for r in mixing.mixture(spark.createDataFrame(rows, schema)).collect()} <= set(rows)

@@ -3,8 +3,10 @@
 import hashlib
 import random
 
+import duckdb
 import pytest
 
+from creditmill.llm.queries import ORACLES
 from creditmill.llm import components as components_module
 from creditmill.llm import url_filter, warc
 from creditmill.llm.components import components
@@ -101,6 +103,21 @@ def test_blocks_reach_aliases(spark, pages):
     assert alone[10] == "block"
 
 
+def test_all_links_of_a_page_count(spark, pages):
+    rows = [(1, "http://two.com/", canonical("http://fine.org/a") + canonical("http://bad.net/x")),
+            (2, "http://many.com/", "".join(f'<meta http-equiv=refresh content="1; url=/{i}">' for i in range(5)) + canonical("/b")),
+            (3, "http://many.com/4", canonical("http://bad.net/")), (4, "http://many.com/b", None), (5, "http://many.com/c", None),
+            (6, "http://fine.org/a", '<link rel="canonical">')]
+    frame = pages(rows)
+    got = {r.page_id: r.verdict for r in url_filter.judge(frame).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {1, 2, 3, 4, 6}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    sql = con.execute(f"SELECT page_id, verdict FROM ({ORACLES['op7_url_filter']})").fetchall()
+    assert dict(sql) == got
+
+
 @pytest.mark.parametrize("broadcast", [0, 1_000_000])
 def test_components(spark, monkeypatch, broadcast):
     monkeypatch.setattr(components_module, "BROADCAST_EDGES", broadcast)
