@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from creditmill.llm.common import per_worker, rows_to_arrow
 
-WORDS_HELD = 120_000  # encoded words, and as many chunks, that a task remembers (some 30 MB each)
+WORDS_HELD = 600_000  # encoded words, and as many chunks, that an encoder remembers (up to some 150 MB each)
+TASK_WORDS_HELD = 300_000  # where they are let go with the task
 PAIRS_HELD = 400_000  # tested token pairs that it remembers (some 40 MB)
 END = 0x400  # added to the character of a word's last byte
 INF = 1 << 60
@@ -155,11 +156,11 @@ class Vocabulary:
 class Encoder:
     """Whole texts to ids and back, word by word; words seen before are looked up."""
 
-    def __init__(self, path: str, by_library: bool = False):
+    def __init__(self, path: str, by_library: bool = False, most_held: int = WORDS_HELD):
         """`by_library`: the library's own model encodes each new word, in place of the dynamic program."""
         from tokenizers import Tokenizer
 
-        self.vocabulary = Vocabulary(path)
+        self.vocabulary, self.most_held = Vocabulary(path), most_held
         library = Tokenizer.from_file(path)
         self.model = library.model if by_library else None
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
@@ -177,7 +178,7 @@ class Encoder:
         self.vocabulary.fits.clear()
 
     def _word(self, piece: str, shown: str) -> tuple[int, ...]:
-        if len(self.words) >= WORDS_HELD:
+        if len(self.words) >= self.most_held:
             self.words.clear()
         if self.model:
             ids = tuple([t.id for t in self.model.tokenize(shown)])
@@ -203,7 +204,7 @@ class Encoder:
         for k, part in enumerate(self.special.split(chunk) if self.special and "<" in chunk else [chunk]):
             ids += [self.vocabulary.special[part]] if k % 2 else self._chunk(part) if part else []
         packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self.held) >= WORDS_HELD:
+        if len(self.held) >= self.most_held:
             self.held.clear()
         self.held[chunk] = packed
         return packed
@@ -233,7 +234,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str
     not read) need no rule. `tokenizer` is the file's path on every executor.
     """
     def make() -> Callable[..., tuple]:
-        encoder = per_worker(("bpe", tokenizer), lambda: Encoder(tokenizer))
+        encoder = per_worker(("bpe", tokenizer), lambda: Encoder(tokenizer, most_held=TASK_WORDS_HELD))
 
         def row(doc_id, value):
             ids = encoder.encode(value or "")

@@ -143,7 +143,6 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, t
                 ids = [np.frombuffer(encoder.encode(t or "") + end, "<u4") for t in part.column(1).to_pylist()]
                 narrow = [bytes([2]) + i.astype("<u2").tobytes() if i.max() < 1 << 16 else bytes([4]) + i.tobytes() for i in ids]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(narrow, pa.binary())], ["doc_id", "ids"])
-        encoder.forget()
         pa.default_memory_pool().release_unused()
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
