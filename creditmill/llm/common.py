@@ -1,10 +1,12 @@
 """Shared pieces: white space, document keys, and joins that survive a hot key."""
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,27 @@ def per_worker(key: tuple, make: Callable):
     return held[key]
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
+def small_slices(batch: pa.RecordBatch, column: int, rows: int = 256, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of at most so many rows, and so many bytes of the given text column unless one row has more."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = held = 0
+    for i, length in enumerate(lengths):
+        if i > start and (held + length > size or i - start >= rows):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += length
+    if lengths:
+        yield batch.slice(start)
+
+
 def rows_to_arrow(df: DataFrame, columns: str, make: Callable[[], Callable[..., tuple]]) -> DataFrame:
     """Map every row in Arrow batches: `make()` runs once per task and returns the row function.
 
@@ -56,7 +79,7 @@ def rows_to_arrow(df: DataFrame, columns: str, make: Callable[[], Callable[...,
                         yield pa.RecordBatch.from_arrays(cols, names)
         finally:
             getattr(row, "close", lambda: None)()
-            pa.default_memory_pool().release_unused()
+            release()
 
     return df.mapInArrow(run, schema)
 

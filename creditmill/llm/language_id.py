@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from creditmill.llm.common import rows_to_arrow
+from creditmill.llm.common import release, rows_to_arrow, small_slices
 
 TOP = 300
 PIECE = 1 << 19  # characters of a text that are counted at a time
@@ -179,10 +179,9 @@ def in_known_language(docs: DataFrame, profiles: dict[str, np.ndarray], min_scor
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(profiles, top)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):  # slices keep what a task holds small when texts are long
-                batch = whole.slice(at, 256)
+            for batch in small_slices(whole, where):  # what a task holds stays small when texts are long
                 told = [ranker.predict(v) for v in batch.column(where).to_pylist()]
                 yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in told], pa.bool_()))
-        pa.default_memory_pool().release_unused()
+        release()
 
     return docs.mapInArrow(run, schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.llm.common import meet, rows_to_arrow, shard_join, shards_for
+from creditmill.llm.common import meet, release, rows_to_arrow, shard_join, shards_for, small_slices
 from creditmill.llm.jaccard_join import WordHash
 from creditmill.session import settle, shuffle_width
 
@@ -190,18 +190,37 @@ def _lines(docs: DataFrame, near_words: int, edits: Edits) -> DataFrame:
         hashes, powers = WordHash(), Powers()
         held = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part, rows = batch.slice(at, 256), []
-                for doc_id, tid, text in zip(*(c.to_pylist() for c in part.columns)):
-                    lines = (text or "").encode().split(b"\n")
-                    words = [x.split() for x in lines]
-                    long = [k for k, w in enumerate(words) if len(w) >= near_words]
-                    of = dict(zip(long, halves([words[k] for k in long], hashes, powers))) if long else {}
-                    if many:
-                        of = {k: [*h, *piece_keys(words[k], edits, hashes, powers, held)[0]] for k, h in of.items()}
-                    rows += [(doc_id, tid, k, xxhash.xxh3_128_digest(lines[k]), of.get(k)) for k, w in enumerate(words) if w]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), out.types)], schema=out)
+            for part in small_slices(batch, 2):
+                of, line, key, long, words = [], [], [], [], []
+                for d, text in enumerate(part.column(2).cast(pa.binary()).to_pylist()):
+                    for k, whole in enumerate((text or b"").split(b"\n")):
+                        w = whole.split()
+                        if w:
+                            if len(w) >= near_words:
+                                long.append(len(of))
+                                words.append(w)
+                            of.append(d)
+                            line.append(k)
+                            key.append(xxhash.xxh3_128_digest(whole))
+                if not of:
+                    continue
+                # the hashes of all long lines of the slice at once; other lines have a null
+                told = halves(words, hashes, powers) if long else np.empty((0, 4), np.int64)
+                sizes, absent = np.zeros(len(of), np.int32), np.ones(len(of), bool)
+                absent[long] = False
+                if many:
+                    rows = [[*h, *piece_keys(w, edits, hashes, powers, held)[0]] for h, w in zip(told.tolist(), words)]
+                    sizes[long] = [len(r) for r in rows]
+                    values = pa.array(chain.from_iterable(rows), pa.int64())
+                else:
+                    sizes[long] = told.shape[1]
+                    values = pa.array(told.ravel())
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                columns = [*(part.column(c).take(pa.array(of)) for c in (0, 1)), pa.array(line, pa.int32()), pa.array(key, pa.binary()),
+                           pa.ListArray.from_arrays(ends, values, mask=pa.array(absent))]
+                yield pa.RecordBatch.from_arrays(columns, schema=out)
+        hashes.clear()
+        release()
 
     return (docs.select("doc_id", "tid", "text").mapInArrow(run, "doc_id bigint, tid bigint, line int, key binary, halves array<bigint>")
             .withColumn("no_id", F.col("doc_id").isNull()))
@@ -226,9 +245,12 @@ def _numbered(docs: DataFrame, first: DataFrame) -> DataFrame:
     rows = meet(entries, shared, ["half"], BROADCAST_ROWS).select("row").distinct()
     lines = first.join(rows, "row", "left_semi").select(*PLACE)
     by_doc = settle(lines.groupBy("doc_id", "tid").agg(F.sort_array(F.collect_list("line")).alias("lines")))
-    texts = _with_numbers(docs, by_doc).dropDuplicates(["doc_id", "tid"]).select("doc_id", "tid", F.posexplode(
-        F.transform("lines", lambda i: F.struct(i.alias("line"), F.element_at(F.split("text", "\n", -1), i + 1).alias("words"))))
-        .alias("_", "l")).select(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tid", "l.line", "l.words")
+    split = F.split("text", "\n", -1)
+    # bound by the outer lambda, the text is split once and not once a line
+    held = F.transform(F.array(split), lambda s: F.transform(
+        "lines", lambda i: F.struct(i.alias("line"), F.element_at(s, i + 1).alias("words"))))[0]
+    texts = (_with_numbers(docs, by_doc).dropDuplicates(["doc_id", "tid"]).select("doc_id", "tid", F.explode(held).alias("l"))
+             .select(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tid", "l.line", "l.words"))
     return settle(texts.repartitionByRange(shuffle_width(docs.sparkSession), *PLACE).sortWithinPartitions(*PLACE)
                   .withColumn("no", F.monotonically_increasing_id()))
 
@@ -335,11 +357,12 @@ def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS, text: str = "text
     if plan.count() <= BROADCAST_ROWS:
         few = F.broadcast(few)
     told = rows.join(few, rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["tid"] == F.col("_t")), "left")
+    # bound by the outer lambda, a text is split once and only where lines go; line feeds tell the number of lines
     split = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("lines"))
-    clean = F.when(F.col("lines").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.element_at(split, i + 1)), "\n"))
-    added = [F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("bigint").alias("n_lines"),
+    clean = F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.transform(F.array(split), lambda s: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(s) - 1), F.col("lines")), lambda i: F.element_at(s, i + 1)), "\n"))[0])
+    feeds = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    added = [F.coalesce(feeds + 1, F.lit(0)).cast("bigint").alias("n_lines"),
              F.coalesce("n_exact", F.lit(0)).cast("bigint").alias("n_exact"), F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near")]
     named = [c for c in docs.columns if c not in ("n_lines", "n_exact", "n_near")]
     return told.select(*[clean.alias(text) if c == text else F.col("_doc")[c].alias(c) for c in named], *added)

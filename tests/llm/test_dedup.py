@@ -4,10 +4,11 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from creditmill.llm import exact_dedup, line_dedup
-from creditmill.llm.common import with_least
+from creditmill.llm.common import small_slices, with_least
 from creditmill.llm.jaccard_join import WordHash
 from pyspark.sql import functions as F
 
@@ -190,3 +191,23 @@ def test_with_least_of_a_hot_key(spark):
     rows = spark.range(1000).select(F.when(F.col("id") < 900, 1).otherwise(F.col("id")).alias("k"), "id")
     got = with_least(rows, ["k"], "id", least=F.col("id")).collect()
     assert len(got) == 1000 and all(r.least == (0 if r.k == 1 else r.k) for r in got)
+
+
+def test_slices_hold_every_row_once():
+    rng = random.Random(4)
+    for _ in range(50):
+        texts = [rng.choice([None, "", "é" * rng.randint(1, 400)]) for _ in range(rng.randint(0, 40))]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
+        parts = list(small_slices(batch, 1, rows=7, size=1000))
+        assert [r for p in parts for r in p.to_pylist()] == batch.to_pylist()
+        for p in parts:
+            held = sum(len((t or "").encode()) for t in p.column(1).to_pylist())
+            assert 1 <= p.num_rows <= 7 and (held <= 1000 or p.num_rows == 1)
+
+
+def test_lines_of_a_long_text_and_of_rows_that_repeat(documents):
+    long = "\n".join(["one two three four five six seven eight nine"] * 3000 + ["last line"])
+    rows = [(1, long), (1, long), (2, "last line\nown"), (3, None), (4, "")]
+    got = sorted((r.doc_id, r.text, r.n_lines, r.n_exact) for r in line_dedup.dedup_lines(documents(rows)).collect() if r.text)
+    kept = "one two three four five six seven eight nine\nlast line"
+    assert got == [(1, kept, 3001, 2999), (1, kept, 3001, 2999), (2, "own", 2, 1)]
