@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from creditmill import schema as S
 from creditmill.operators import preprocess, ranks
+from creditmill.session import settle
 
 TREES, SAMPLE = 100, 256
 EULER = 0.5772156649015329
@@ -45,18 +46,35 @@ def _grow(points: np.ndarray, rng: np.random.Generator) -> list[tuple]:
     return rows
 
 
-def fit_isolation_forest(points: DataFrame, columns: Sequence[str], trees: int = TREES, sample: int = SAMPLE,
-                         seed: int = S.SEED, key: str = S.KEY) -> list:
-    """Tree nodes, at most 2 * sample per tree. Each tree sees `sample` rows drawn by hash."""
-    n = points.count()
-    # keep about twice the sample per tree in place, then the exact sample of what is left
-    keep = min(1.0, 2.0 * sample / max(n, 1))
-    bound = int(keep * (1 << 30))
-    draws = points.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    draws = draws.withColumn("_h", F.pmod(F.xxhash64(F.lit(seed), "tree", key), F.lit(1 << 30)))
-    draws = draws.filter(F.col("_h") < bound)
+def draw_samples(points: DataFrame, columns: Sequence[str], trees: int = TREES, sample: int = SAMPLE,
+                 seed: int = S.SEED, key: str = S.KEY, n: int | None = None) -> DataFrame:
+    """(tree, _i, columns): for every tree the `sample` rows of smallest hash, fewer only if the table has fewer.
+
+    A bound on the hash, which leaves about twice as many rows as wanted, is tested inside each row, so a row is written
+    out only for the trees that draw it and the shuffle carries about 2 * trees * sample rows at any size of the table. If
+    the bound leaves a tree too few, all are drawn again under a wider one.
+    """
+    n = points.count() if n is None else n
+    wanted = min(sample, n)
+    share = 2.0 * sample / max(n, 1)
     first = W.partitionBy("tree").orderBy("_h", key)
-    drawn = draws.withColumn("_i", F.row_number().over(first)).filter(F.col("_i") <= sample)
+    while True:
+        # hashes take up 63 bits, so the bound stays far above 0 however many rows there are
+        bound = F.lit(min(int(min(1.0, share) * (1 << 63)), (1 << 63) - 1))
+        hashes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+            t.alias("tree"), F.xxhash64(F.lit(seed), t, F.col(key)).bitwiseAND(F.lit((1 << 63) - 1)).alias("_h")))
+        drawn = points.select(key, *columns, F.explode(F.filter(hashes, lambda d: d["_h"] <= bound)).alias("_d"))
+        drawn = drawn.select(key, *columns, "_d.tree", "_d._h").withColumn("_i", F.row_number().over(first))
+        held = settle(drawn.filter(F.col("_i") <= sample).select("tree", "_i", *columns))
+        if share >= 1.0 or held.count() == trees * wanted:
+            return held
+        share *= 4.0
+
+
+def fit_isolation_forest(points: DataFrame, columns: Sequence[str], trees: int = TREES, sample: int = SAMPLE,
+                         seed: int = S.SEED, key: str = S.KEY, n: int | None = None) -> list:
+    """Tree nodes, at most 2 * sample per tree. Each tree sees `sample` of the `n` rows (counted if not given), drawn by hash."""
+    drawn = draw_samples(points, columns, trees, sample, seed, key, n)
     columns = list(columns)
 
     def grow(part: pd.DataFrame) -> pd.DataFrame:
@@ -67,7 +85,7 @@ def fit_isolation_forest(points: DataFrame, columns: Sequence[str], trees: int =
         out.insert(0, "tree", tree)
         return out
 
-    return drawn.select("tree", "_i", *columns).groupBy("tree").applyInPandas(grow, NODE).collect()
+    return drawn.groupBy("tree").applyInPandas(grow, NODE).collect()
 
 
 def score_isolation_forest(df: DataFrame, nodes: list, columns: Sequence[str], sample: int = SAMPLE) -> DataFrame:
@@ -107,7 +125,8 @@ def outliers_isolation_forest(df: DataFrame, columns: Sequence[str] | None = Non
     """Add `anomaly_score` and `is_outlier` for the most anomalous `contamination` of the rows; NULLs count as 0."""
     columns = [c for c in (columns or preprocess.numeric_columns(df)) if c != S.TARGET]
     points = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
-    nodes = fit_isolation_forest(points, columns, trees, sample, seed, key)
-    scored = score_isolation_forest(df, nodes, columns, min(sample, max(2, points.count())))
+    n = points.count()
+    nodes = fit_isolation_forest(points, columns, trees, sample, seed, key, n)
+    scored = settle(score_isolation_forest(df, nodes, columns, min(sample, max(2, n))))  # scored once, read twice
     cut = ranks.quantile_map(scored, ["anomaly_score"], [1 - contamination])["anomaly_score"][0]
     return scored.withColumn("is_outlier", F.col("anomaly_score") > F.lit(cut))

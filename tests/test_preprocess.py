@@ -154,6 +154,25 @@ def test_isolation_forest_finds_the_far_points(spark):
     assert {r["loan_id"] for r in out.filter("is_outlier").collect()} == set(range(8))
 
 
+@pytest.mark.parametrize("n", [0, 3, 5000])
+def test_every_tree_draws_the_rows_of_smallest_hash(spark, n):
+    points = spark.range(n).select(F.col("id").alias("loan_id"), F.col("id").cast("double").alias("a"))
+    got = {}
+    for r in anomalies.draw_samples(points, ["a"], trees=20, sample=16, seed=3).collect():
+        got.setdefault(r["tree"], {})[r["_i"]] = r["a"]
+    hashes = points.select("a", *[F.xxhash64(F.lit(3), F.lit(t), "loan_id").bitwiseAND(F.lit((1 << 63) - 1)).alias(f"h{t}")
+                                  for t in range(20)]).toPandas()
+    want = {t: dict(enumerate(hashes.sort_values(f"h{t}")["a"].head(16), 1)) for t in range(20)}
+    assert got == {t: rows for t, rows in want.items() if rows}
+
+
+def test_a_bound_that_leaves_too_few_is_widened(spark):
+    points = spark.range(4000).select(F.col("id").alias("loan_id"), F.col("id").cast("double").alias("a"))
+    right = anomalies.draw_samples(points, ["a"], trees=8, sample=16)
+    wrong = anomalies.draw_samples(points, ["a"], trees=8, sample=16, n=400_000)  # a bound for a hundred times the rows
+    assert sorted(right.collect()) == sorted(wrong.collect())
+
+
 def test_split_folds_and_weights(loans):
     counts = sampling.class_counts(loans)
     split = sampling.stratified_split(loans).filter("is_test")
