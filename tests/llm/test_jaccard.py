@@ -86,6 +86,31 @@ def test_many_distinct_copies_stay_linear(documents):
     assert {r.component_id for r in got} == {0}
 
 
+def test_a_shingle_counted_once_at_a_time_is_told(spark, documents, monkeypatch):
+    """Every document is counted by itself, so no shingle is found twice: the sampled sets tell the shared ones."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "1")
+    monkeypatch.setattr(J, "CODES_HELD", 1)
+    monkeypatch.setattr(J, "SAMPLED", 4)
+    shared = " ".join(f"s{i}" for i in range(20))
+    rows = [(i, f"{shared} " + " ".join(f"own{i}x{k}" for k in range(60))) for i in range(200)]
+    join = J.Join(documents(rows, 4), "text", "doc_id", J.PERCENT)
+    spark.conf.set(batch, before)
+    assert join.codes.count() == 0
+    told = {r.code: r.n for r in join.often(join.codes.groupBy("code").agg(J.F.sum("found").alias("n"))).collect()}
+    both = set.intersection(*[set(J.shingle_set(t, J.WordHash()).view(np.int64).tolist()) for _, t in rows])
+    assert set(told) == both and len(both) == 16 and all(100 <= n <= 300 for n in told.values())
+
+
+def test_sampled_sets_change_no_link(documents, monkeypatch):
+    rows = corpus(6)
+    monkeypatch.setattr(J, "SAMPLED", 1)
+    monkeypatch.setattr(J, "SAMPLE_FREQUENT", 2)
+    monkeypatch.setattr(J, "PART", 4)
+    assert told(J.near_duplicates(documents(rows, 5))) == brute(rows)
+
+
 def test_empty(documents):
     assert J.near_duplicates(documents([])).collect() == []
     assert told(J.near_duplicates(documents([(1, None), (2, "")]))) == [("1", 0, "1"), ("2", 0, "2")]
