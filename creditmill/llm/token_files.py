@@ -27,6 +27,7 @@ from creditmill.session import scratch_path, shuffle_width
 MAGIC = b"EFT1"
 SEGMENT_TOKENS = 1 << 20
 SAMPLE = 256  # every so many ones of the upper bits have their place stored
+READ_DOCS = 8 * SAMPLE  # documents that are read at a time
 SEGMENT = "shard int, segment int, n_docs int, n_tokens bigint, data binary"
 
 
@@ -70,10 +71,21 @@ class EliasFano:
         place = byte * 8 + int(np.flatnonzero(seen)[left])
         return (place - i) << self.low_bits | int(self._low(np.array([i]))[0])
 
-    def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
-        upper = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
-        return (upper | self._low(np.arange(self.n))).astype(np.int64)
+    def select_range(self, i: int, j: int) -> np.ndarray:
+        """Values i to j - 1 at once: the samples around them bound the stretch of upper bits that holds their ones."""
+        if not 0 <= i <= j <= self.n:
+            raise IndexError((i, j))
+        if i == j:
+            return np.array([], np.int64)
+        first, last = i // SAMPLE, (j - 1) // SAMPLE + 1
+        start = int(self.samples[first])
+        end = (int(self.samples[last]) >> 3) + 1 if last < len(self.samples) else len(self.high)
+        seen = np.unpackbits(self.high[start >> 3:end], bitorder="little")
+        seen[:start & 7] = 0
+        at = np.arange(i, j)
+        ones = np.flatnonzero(seen)[at - first * SAMPLE] + (start >> 3) * 8
+        upper = (ones - at).astype(np.uint64) << np.uint64(self.low_bits)
+        return (upper | self._low(at)).astype(np.int64)
 
     def to_bytes(self) -> bytes:
         head = struct.pack("<QBQQQ", self.n, self.low_bits, len(self.low), len(self.high), len(self.samples))
@@ -105,21 +117,26 @@ def pack_segment(keys: list, ids: list[bytes], before: int) -> bytes:
 
 
 class Segment:
-    """Reads a packed segment; document i's ids are sliced out by its boundaries."""
+    """Reads a packed segment; a document's ids are sliced out by its boundaries, and these come from select."""
 
     def __init__(self, data: bytes):
-        magic, self.n_docs, no_key, self.n_tokens, self.before, width = struct.unpack_from("<4sIIQQB", data)
+        magic, self.n_docs, self.no_key, self.n_tokens, self.before, width = struct.unpack_from("<4sIIQQB", data)
         if magic != MAGIC:
             raise ValueError("not a token segment")
         self.bounds, at = EliasFano.read(data, struct.calcsize("<4sIIQQB"))
-        keys, at = EliasFano.read(data, at)
-        least = struct.unpack_from("<q", data, at)[0]
-        self.keys = [int(k) + least for k in keys.values()] + [None] * no_key
+        self.named, at = EliasFano.read(data, at)
+        self.least = struct.unpack_from("<q", data, at)[0]
         self.ids = np.frombuffer(data, f"<u{width}", self.n_tokens, at + 8)
 
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.bounds.select(i):self.bounds.select(i + 1)]
 
+    def keys(self, i: int, j: int) -> list:
+        """Keys of documents i to j - 1; those without key come last."""
+        known = min(j, self.named.n)
+        found = [k + self.least for k in self.named.select_range(min(i, known), known).tolist()]
+        return found + [None] * (j - i - len(found))
+
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, text: str = "text", key: str = "doc_id",
                       segment_tokens: int = SEGMENT_TOKENS) -> None:
@@ -194,13 +211,16 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for base_of, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = Segment(data.as_py())
-                bounds = s.bounds.values()
-                wide = s.ids.astype("<u4")
-                docs = [wide[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(s.keys, pa.int64()), pa.array(bounds[:-1] + base_of + s.before, pa.int64()),
-                     pa.array(np.diff(bounds), pa.int64()), pa.array([zlib.crc32(d) for d in docs], pa.int64()),
-                     pa.array(docs, pa.binary())], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                for i in range(0, s.n_docs, READ_DOCS):
+                    j = min(i + READ_DOCS, s.n_docs)
+                    bounds = s.bounds.select_range(i, j + 1)
+                    wide = s.ids[bounds[0]:bounds[-1]].astype("<u4")
+                    at = (bounds - bounds[0]).tolist()
+                    docs = [wide[a:b].tobytes() for a, b in zip(at, at[1:])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(s.keys(i, j), pa.int64()), pa.array(bounds[:-1] + base_of + s.before, pa.int64()),
+                         pa.array(np.diff(bounds), pa.int64()), pa.array([zlib.crc32(d) for d in docs], pa.int64()),
+                         pa.array(docs, pa.binary())], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
     return (segments.select("shard", "data").join(F.broadcast(base), "shard").select("base", "data")  # base: one row a shard
             .mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary"))

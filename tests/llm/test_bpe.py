@@ -71,10 +71,23 @@ def test_elias_fano(values):
     values = np.array(sorted(values), np.int64)
     coded, end = token_files.EliasFano.read(b"??" + token_files.EliasFano.of(values).to_bytes(), 2)
     assert end == len(token_files.EliasFano.of(values).to_bytes()) + 2
-    assert coded.values().tolist() == values.tolist()
+    assert coded.select_range(0, len(values)).tolist() == values.tolist()
+    for i in range(0, len(values), 7):
+        for j in (i, i + 1, len(values)):
+            assert coded.select_range(i, j).tolist() == values[i:j].tolist()
     assert [coded.select(i) for i in range(len(values))] == values.tolist()
 
 
+def test_stretches_between_samples():
+    gaps = np.random.default_rng(1).choice([0, 1, 2, 50_000], 3000)
+    values = np.cumsum(gaps)
+    coded = token_files.EliasFano.of(values)
+    for i, j in ((0, 1), (0, 256), (255, 257), (256, 512), (300, 2900), (2999, 3000), (3000, 3000)):
+        assert coded.select_range(i, j).tolist() == values[i:j].tolist()
+    with pytest.raises(IndexError):
+        coded.select_range(5, 3001)
+
+
 def test_boundaries_take_little_space():
     bounds = np.cumsum(np.random.default_rng(0).integers(1, 1000, 100_000))
     assert len(token_files.EliasFano.of(bounds).to_bytes()) < 0.25 * bounds.nbytes
@@ -97,8 +110,9 @@ def test_token_files(spark, documents, library, tmp_path):
     segments = spark.read.parquet(path).collect()
     assert len(segments) > 8  # one a shard at least
     one = token_files.Segment(bytes(segments[0].data))
+    bounds = one.bounds.select_range(0, one.n_docs + 1)
     assert [one.document(i).tolist() for i in range(one.n_docs)] == [
-        one.ids[a:b].tolist() for a, b in zip(one.bounds.values()[:-1], one.bounds.values()[1:])]
+        one.ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def test_token_files_empty(spark, documents):
