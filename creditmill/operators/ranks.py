@@ -218,23 +218,31 @@ def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     return out if by else {c: q for (_, c), q in out.items()}
 
 
-HOT_SHARE = 1000
-
-
 def with_average_ranks(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add `rank` to (…, keys, value) rows: the mean 1-based position of the value within its key.
+    """Add `rank` to stored (…, keys, value) rows: the mean 1-based position of the value within its key.
 
-    A value with at least 1/HOT_SHARE of its key's rows is hot. There are at most HOT_SHARE of those
-    per key, so they are looked up by broadcast; the rest has no hot join key left and is shuffled.
+    A value that is one of its key's splits has its rank from counts alone. Every value with somewhat more than 1/width of
+    the rows is a split, so hot values stay where they are. All others lie between two splits and are ranked there, which is
+    the one shuffle of rows. Equal values are never parted by a split.
     """
-    at = [*keys, "value"]
-    counts = long.groupBy(*at).agg(F.count("*").alias("n"))
-    ranked = cumulate(counts, "value", ["n"], keys).withColumn("rank", F.col("upto_n") - (F.col("n") - 1) / 2)
-    hot = F.col("n") * HOT_SHARE >= F.col("total_n")
-    marked = long.join(F.broadcast(ranked.filter(hot).select(*at, "rank")), at, "left")
-    rest = marked.filter(F.col("rank").isNull()).drop("rank")
-    return (marked.filter(F.col("rank").isNotNull())
-            .unionByName(rest.join(ranked.filter(~hot).select(*at, "rank"), at)))
+    keys = list(keys)
+    width = shuffle_width(long.sparkSession)
+    probs = [i / width for i in range(1, width)]
+    splits = settle(long.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("value", probs, 20 * width)).alias("_splits")))
+    marked = long.join(F.broadcast(splits.withColumn("_edges", F.col("_splits"))), keys)  # one row per key
+    below = F.col("_range")  # splits up to the value
+    at_split = (below > 0) & F.coalesce(F.try_element_at("_edges", F.greatest(below, F.lit(1))) == F.col("value"), F.lit(False))
+    marked = _range_of(marked, "value", width).withColumn("_slot", 2 * below - at_split.cast("int")).drop("_range", "_edges")
+    before = F.sum("_n").over(W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1))
+    offsets = settle(marked.groupBy(*keys, "_slot").agg(F.count("*").alias("_n"))
+                     .withColumn("_before", F.coalesce(before, F.lit(0))))
+    placed = marked.join(F.broadcast(offsets), [*keys, "_slot"])  # at most two rows per key and split
+    split = F.col("_slot") % 2 == 1
+    inside = W.partitionBy(*keys, "_slot").orderBy("value")
+    upto = (F.rank().over(inside) + F.count("*").over(inside)) / 2  # the first and the last place of its ties
+    alike = placed.filter(split).withColumn("rank", F.col("_before") + (F.col("_n") + 1) / 2)
+    between = placed.filter(~split).withColumn("rank", F.col("_before") + upto)
+    return alike.unionByName(between).drop("_slot", "_n", "_before")
 
 
 HASH_RANGES = 4096

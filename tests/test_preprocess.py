@@ -104,8 +104,10 @@ def test_neighbors_equal_brute_force(spark, monkeypatch, block):
     assert found == brute(pts, pts, 4)
 
 
-@pytest.mark.parametrize("width,unknown,patterns", [(4, 0.15, 4), (7, 0.4, 64)])
-def test_knn_imputer_equals_brute_force(spark, width, unknown, patterns):
+@pytest.mark.parametrize("width,unknown,patterns,own,block", [(4, 0.15, 4, 256, 2048), (7, 0.4, 64, 256, 2048), (7, 0.4, 64, 3, 2), (5, 0.3, 16, 0, 2)])
+def test_knn_imputer_equals_brute_force(spark, monkeypatch, width, unknown, patterns, own, block):
+    monkeypatch.setattr(neighbors, "PATTERNS", own)  # all other patterns share cells
+    monkeypatch.setattr(neighbors, "BLOCK", block)
     rng = np.random.default_rng(5)
     x = rng.normal(0, 1, (150, width)).round(2)
     x[rng.random(x.shape) < unknown] = np.nan
@@ -128,6 +130,34 @@ def test_knn_imputer_equals_brute_force(spark, width, unknown, patterns):
     np.testing.assert_allclose(got, expected, atol=1e-9)
 
 
+def test_knn_imputer_without_neighbours(spark):
+    rows = spark.createDataFrame([(1, None, None), (2, 1.0, None), (3, None, 4.0)], "loan_id long, a double, b double")
+    assert neighbors.impute_knn(rows.filter("loan_id > 3"), ["a", "b"]).collect() == []
+    got = {r["loan_id"]: (r["a"], r["b"]) for r in neighbors.impute_knn(rows).collect()}
+    assert got == {1: (1.0, 4.0), 2: (1.0, 4.0), 3: (1.0, 4.0)}  # nothing in common: the means
+    alone = neighbors.impute_knn(rows.filter("loan_id < 3"), ["a", "b"]).collect()
+    assert {(r["loan_id"], r["a"], r["b"]) for r in alone} == {(1, 1.0, None), (2, 1.0, None)}
+
+
+@pytest.mark.parametrize("own", [256, 5])
+def test_a_donor_is_in_one_cell_whatever_the_patterns(spark, monkeypatch, own):
+    monkeypatch.setattr(neighbors, "PATTERNS", own)
+    rng = np.random.default_rng(2)
+    known = rng.random((600, 6)) < 0.6
+    known[:, 0] = True
+    x = np.where(known, rng.normal(0, 1, known.shape), 0.0)
+    rows = [("".join("01"[int(b)] for b in k), v.tolist(), [i]) for i, (k, v) in enumerate(zip(known, x))]
+    donors = spark.createDataFrame(rows, "pattern string, values array<double>, ids array<bigint>")
+    placed, cells = neighbors.gap_cells(donors, 6)
+    assert placed.count() == 600 and sum(r["n"] for r in cells) == 600
+    assert len(cells) <= np.sqrt(600 * 33) + 33
+    box = {r["cell"]: r for r in cells}
+    for r in placed.collect():
+        for c in range(6):
+            if r["pattern"][c] == "1":
+                assert box[r["cell"]]["low"][c] <= r["values"][c] <= box[r["cell"]]["high"][c]
+
+
 @pytest.mark.parametrize("method", [neighbors.smote, neighbors.adasyn])
 def test_oversampling_stays_between_parents(loans, method):
     ready = preprocess.impute_numeric(loans)
