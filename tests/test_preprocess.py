@@ -215,3 +215,42 @@ def test_split_folds_and_weights(loans):
     assert weights[1] == pytest.approx(130 / (2 * counts[1]))
     assert sampling.class_weights(loans, resampled=True).filter("weight <> 1").count() == 0
     assert set(sampling.class_counts(sampling.undersample(loans)).values()) == {min(counts.values())}
+
+
+def test_neighbors_over_many_blocks_equal_brute_force(spark, monkeypatch):
+    """Blocks of few donors, some cells larger than a block, and more columns than prune well."""
+    monkeypatch.setattr(neighbors, "BLOCK", 3)
+    monkeypatch.setattr(neighbors, "SPAN", 4)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 1, (150, 9)), rng.normal(50, 1e-3, (90, 9)), 100 * rng.normal(0, 1, (20, 9))])
+    pts = {i: v.tolist() for i, v in enumerate(x)}
+    names = [f"c{i}" for i in range(9)]
+    df = spark.createDataFrame([(i, *v) for i, v in pts.items()], "loan_id long, " + ", ".join(f"{c} double" for c in names))
+    found: dict = {}
+    for r in neighbors.neighbor_table(df.filter("loan_id % 2 = 0"), df, names, k=5).collect():
+        found.setdefault(r["loan_id"], []).append((r["distance"], r["neighbor"]))
+    assert {i: sorted(v) for i, v in found.items()} == brute({i: v for i, v in pts.items() if i % 2 == 0}, pts, 5)
+
+
+def test_nearest_compares_few_pairs_exactly():
+    """Products leave little more than the k nearest to be computed from differences; a far cell is skipped."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(0, 1, (400, 36)), rng.normal(90, 1, (400, 36))])
+    bound = np.array([[0.0, 400.0]] * 30)
+    i, j, d = neighbors._k_nearest(x[:30], np.full(30, np.inf), bound, [np.arange(400), np.arange(400, 800)], x, 6)
+    assert len(i) < 30 * 12 and j.max() < 400
+    whole = np.round(neighbors._distances(x[:30], x), neighbors.TIE_DIGITS)
+    for q in range(30):
+        assert sorted(d[i == q])[:6] == sorted(whole[q])[:6]
+
+
+def test_preprocess_state_counts_nulls_and_infinities_in_one_pass(spark, monkeypatch):
+    rows = [(i, None if i < 4 else float(i), float("inf") if i == 3 else float(i), None if i % 2 else 1.0, 5, i % 2) for i in range(11)]
+    df = spark.createDataFrame(rows, "loan_id long, a double, b double, c double, d int, is_default int")
+    passes = []
+    real = preprocess.null_counts
+    monkeypatch.setattr(preprocess, "null_counts", lambda *a: passes.append(a) or real(*a))
+    state = preprocess.fit_preprocess(df)
+    assert not passes  # it took four before
+    assert state["dropped"] == [] and state["medians"] == {"a": 7.0, "c": 1.0} and state["modes"] == {}
+    assert state["late"] == {"b": 5.5}
