@@ -24,14 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditmill.llm.common import shard_join, shards_for
+from creditmill.llm.common import release, shard_join, shards_for
 from creditmill.llm.components import components
 from creditmill.session import settle, shuffle_width
 
 SHINGLE = 5
 PERCENT = 75  # similarity from which sets are linked
 BITMAP = 512, 1 << 16  # least and most bits of a bitmap; in between it has twice the set's size, rounded up to a power of two
-WORDS_HELD = 250_000  # hashed words that a task remembers (some 45 MB)
 CODES_HELD = 2_000_000  # shingles counted at a time in a task (some 60 MB while they are sorted)
 FREQUENT = 8  # counted documents from which a shingle comes last in the order
 SAMPLED = 64  # one set in so many tells all its shingles, so that one which occurs once a task is known as frequent too
@@ -44,14 +43,13 @@ BROADCAST_IDS = 1_000_000  # documents to fetch, up to which their ids (8 bytes
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)  # odd multipliers
 
 
-class WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
+class WordHash:
+    """64-bit hash of a word, by `of`. Hashing a word anew costs less than looking it up among very many, and holds nothing."""
+
+    def __init__(self):
         import xxhash
 
-        if len(self) >= WORDS_HELD:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+        self.of: Callable[[bytes], int] = xxhash.xxh3_64_intdigest
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -59,18 +57,19 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingle_set(text: str, hashes: dict, size: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str, hashes: WordHash, size: int = SHINGLE) -> np.ndarray:
     """Distinct shingle codes of a whole text, ascending. A to Z lower-cased; words are parted by the six ASCII spaces."""
     words = text.encode().lower().split()  # on bytes both work on ASCII alone
     n = len(words)
     if not n:
         return np.array([], np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(hashes.of, words), np.uint64, n)
     k = min(size, n)
     code = np.full(n - k + 1, k, np.uint64)
     for i in range(k):
         code = code * _ODD + h[i:n - k + 1 + i]
-    return np.unique(_scrambled(code))
+    code = np.sort(_scrambled(code))
+    return code[_starts([code])]
 
 
 def bitmap(codes: np.ndarray) -> bytes:
@@ -123,8 +122,8 @@ def _per_document(make: Callable, out: pa.Schema, flush: Callable | None = None)
                 yield from flush(row, False)
         if flush:
             yield from flush(row, True)
-        del hashes, row
-        pa.default_memory_pool().release_unused()
+        del row
+        release()
 
     return run
 
@@ -384,9 +383,9 @@ class Join:
         self.sampled = survey.filter("code is not null and found is null").select("code", "set_key")
         self.seed = self._seed()
         self.cls = F.xxhash64("set_key", F.lit(self.seed))
-        # one row a class: any document that has it
-        self.classes = (self.rows.filter("n > 1").withColumn("cls", self.cls).groupBy("cls")
-                        .agg(F.min("doc_id").alias("doc_id"), F.first("n").cast("int").alias("n"), F.first("bits").alias("bits")))
+        # one row a class: any document that has it; many steps read it
+        self.classes = settle(self.rows.filter("n > 1").withColumn("cls", self.cls).groupBy("cls")
+                              .agg(F.min("doc_id").alias("doc_id"), F.first("n").cast("int").alias("n"), F.first("bits").alias("bits")))
 
     def _seed(self) -> int:
         """A seed under which no two different sets get the same 64-bit class number."""
@@ -433,14 +432,19 @@ class Join:
                .filter((F.col("cls") != F.col("l.lead")) & _similar_size(F.col("n"), F.col("l.m"), self.percent)))
         pairs = settle(met.select(F.least("cls", "l.lead").alias("a"), F.greatest("cls", "l.lead").alias("b")).distinct())
         a, b = (self.classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
-        both = self._attach(self._attach(pairs, a, "a"), b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        both = self._attach(pairs, {"a": a, "b": b}).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
         return both.mapInArrow(_possible(self.percent), "a bigint, b bigint")
 
-    def _attach(self, pairs: DataFrame, table: DataFrame, side: str) -> DataFrame:
-        """Join a table of classes to one side of the pairs; a class in very many pairs is cut into shards."""
-        times = pairs.groupBy(side).agg(shards_for(F.count("*"), PART).alias("shards"))
-        return (shard_join(pairs.join(times, side), table.join(times, side), [side], F.struct("a", "b"), "shards")
-                .drop("shards"))
+    def _attach(self, pairs: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+        """Join a table of classes to each side of the pairs; a class in more than PART pairs is cut into shards."""
+        out = pairs
+        for side, table in tables.items():
+            hot = (pairs.groupBy(side).agg(F.count("*").alias("_n")).filter(F.col("_n") > PART)
+                   .select(side, shards_for("_n", PART).alias("shards")))
+            cut, told = (x.join(F.broadcast(hot), side, "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
+                         for x in (out, table))  # at most one class in PART pairs is hot
+            out = shard_join(cut, told, [side], F.struct("a", "b"), "shards").drop("shards")
+        return out
 
     def across(self, lists: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:
         """Candidate pairs between components that meet on a list."""
@@ -470,7 +474,7 @@ class Join:
         sets = settle(texts.mapInArrow(_per_document(lambda: lambda _, c: (_digest(c), c.tobytes()) if len(c) else None, out),
                                        "set_key binary, codes binary").select(self.cls.alias("cls"), "codes"))
         a, b = (sets.select(F.col("cls").alias(s), F.col("codes").alias(f"codes_{s}")) for s in "ab")
-        both = self._attach(self._attach(pairs, a, "a"), b, "b").select("a", "b", "codes_a", "codes_b")
+        both = self._attach(pairs, {"a": a, "b": b}).select("a", "b", "codes_a", "codes_b")
         return settle(both.mapInArrow(_linked(self.percent), "a bigint, b bigint"))
 
     def run(self) -> DataFrame:

@@ -64,10 +64,10 @@ class Powers:
 class LineHash:
     """Hashes of a line's parts from prefix sums: sum of word hash times power of its place, modulo 2^64."""
 
-    def __init__(self, words: list[bytes], hashes: dict, powers: Powers):
+    def __init__(self, words: list[bytes], hashes: WordHash, powers: Powers):
         self.n = n = len(words)
         self.powers = powers.upto(n)
-        h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
+        h = np.fromiter(map(hashes.of, words), np.uint64, n)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(h * self.powers.up[:n], out=self.sums[1:])
 
@@ -85,13 +85,13 @@ class LineHash:
         return _scrambled(self.sums[:-1] + rest + tag).view(np.int64)
 
 
-def halves(lines: list[list[bytes]], hashes: dict, powers: Powers) -> np.ndarray:
+def halves(lines: list[list[bytes]], hashes: WordHash, powers: Powers) -> np.ndarray:
     """For each line the hashes of its two halves, and of those it has as the longer partner of a line with a word less."""
     n = np.array([len(x) for x in lines])
     end = np.cumsum(n)
     start, total = end - n, int(end[-1])
     up, down = powers.upto(total).up, powers.down
-    h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(lines)), np.uint64, total)
+    h = np.fromiter(map(hashes.of, chain.from_iterable(lines)), np.uint64, total)
     sums = np.zeros(total + 1, np.uint64)
     np.cumsum(h * up[:total], out=sums[1:])
     out = []
@@ -128,7 +128,7 @@ def places(n: int, edits: Edits) -> np.ndarray:
     return np.array(sorted(out), np.int64).reshape(-1, 3)
 
 
-def piece_keys(words: list[bytes], edits: Edits, hashes: dict, powers: Powers, held: dict) -> tuple[list[int], list[bool]]:
+def piece_keys(words: list[bytes], edits: Edits, hashes: WordHash, powers: Powers, held: dict) -> tuple[list[int], list[bool]]:
     """Hashes of `places` in a line, and which of them are its own pieces."""
     n = len(words)
     if n not in held:
@@ -219,7 +219,6 @@ def _lines(docs: DataFrame, near_words: int, edits: Edits) -> DataFrame:
                 columns = [*(part.column(c).take(pa.array(of)) for c in (0, 1)), pa.array(line, pa.int32()), pa.array(key, pa.binary()),
                            pa.ListArray.from_arrays(ends, values, mask=pa.array(absent))]
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
-        hashes.clear()
         release()
 
     return (docs.select("doc_id", "tid", "text").mapInArrow(run, "doc_id bigint, tid bigint, line int, key binary, halves array<bigint>")

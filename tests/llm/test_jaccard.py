@@ -141,3 +141,25 @@ def test_bitmap_never_overstates():
         assert J.bits_apart(np.array([0]), np.array([1]), bits)[0] <= len(np.setxor1d(a, b))
         assert J.folded(bits[0], 64).tobytes() == np.packbits(
             (np.bincount((a >> np.uint64(40)).astype(np.int64) % 512, minlength=512) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def test_few_edges_are_joined_without_a_shuffle(spark, monkeypatch):
+    from creditmill.llm import components as C
+
+    rng = np.random.default_rng(8)
+    pairs = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (129, 500)]
+    pairs += [(int(a), int(b)) for a, b in rng.integers(1000, 1080, (60, 2))]
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint")
+    few = C.components(edges)
+    assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(C, "FEW_EDGES", 0)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, C.components(edges).collect()))
+    assert C.components(edges.filter("a < 0")).count() == 0
+
+
+def test_word_hashes_hold_no_words():
+    hashes = J.WordHash()
+    J.shingle_set("one two three four five six", hashes)
+    assert not isinstance(hashes, dict) and list(vars(hashes)) == ["of"]
+    codes = J.shingle_set("a b c d e f a b c d e F", hashes)
+    assert len(codes) == 6 and (codes[1:] > codes[:-1]).all()
