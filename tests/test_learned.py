@@ -108,3 +108,13 @@ def test_mutual_information_counts_cells_without_a_row_a_value(spark):
             return sum(c for key, c in cells.items() if key[i] == x)
         expected = sum(c / n * math.log(c * n / (total(0, b) * total(1, y))) for (b, y), c in cells.items())
         assert found[name] == pytest.approx(expected, abs=1e-12)
+
+
+def test_explanations_take_more_tasks_the_more_attributions_there_are(spark, monkeypatch):
+    phi = spark.range(300).selectExpr("id % 100 AS loan_id", "concat('f', id) AS feature", "id * 1.5 AS value", "id - 150.0D AS phi")
+    scored = spark.range(100).selectExpr("id AS loan_id", "id / 100 AS predicted_pd")
+    before = explain.business_explanation(phi, scored)
+    monkeypatch.setattr(explain, "PHI_A_TASK", 20)
+    after = explain.business_explanation(phi, scored)
+    assert "15), REPARTITION_BY_NUM" in after._jdf.queryExecution().executedPlan().toString()
+    assert sorted(before.collect()) == sorted(after.collect()) and before.count() == 100
