@@ -109,6 +109,20 @@ def test_spearman_ranks_anew_per_pair(data):
     assert all(pearson[a, b] == pytest.approx(expected.loc[a, b], abs=1e-9) for a in columns for b in columns)
 
 
+def test_spearman_looks_ranks_up_without_moving_rows(spark, data, monkeypatch):
+    df, _ = data
+    columns = ["hot", "skewed", "few", "gappy", "late"]
+    frame = df.withColumn("late", F.when(F.col("loan_id") % 5 != 0, F.col("skewed"))).localCheckpoint()
+    def found():
+        return {(r["a"], r["b"]): r["r"] for r in eda.spearman_matrix(frame, columns).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(eda.ranks, "with_average_ranks", None)  # ranks the rows
+        looked_up = found()
+    with monkeypatch.context() as m:
+        m.setattr(eda, "RANKED_VALUES", 10)  # too many values: the rows are ranked
+        assert found() == pytest.approx(looked_up, abs=1e-12)
+
+
 def test_attach_beyond_the_broadcast_bound(spark, data):
     df, _ = data
     table = df.groupBy("few").agg(F.count("*").alias("n"))
