@@ -121,6 +121,10 @@ def test_spearman_looks_ranks_up_without_moving_rows(spark, data, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(eda, "RANKED_VALUES", 10)  # too many values: the rows are ranked
         assert found() == pytest.approx(looked_up, abs=1e-12)
+    frame = frame.unionByName(frame.filter("loan_id < 50"))  # rows that share a key count as one
+    with monkeypatch.context() as m:
+        m.setattr(eda, "_rank_tables", None)
+        assert len(found()) == len(looked_up)
 
 
 def test_attach_beyond_the_broadcast_bound(spark, data):
