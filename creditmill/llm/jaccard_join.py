@@ -118,8 +118,8 @@ def _per_document(make: Callable, out: pa.Schema, flush: Callable | None = None)
                         if (r := row(i, shingle_set(t or "", hashes))) is not None]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), out.types)], schema=out)
-            if flush:
-                yield from flush(row, False)
+                if flush:  # after each slice: a whole batch of long texts may hold many times what is counted at a time
+                    yield from flush(row, False)
         if flush:
             yield from flush(row, True)
         del row
@@ -158,9 +158,14 @@ def _surveyed(docs: DataFrame) -> DataFrame:
 
     def flush(row: Row, last: bool) -> Iterator[pa.RecordBatch]:
         if row.held and (last or row.size >= CODES_HELD):
-            codes, found = np.unique(np.concatenate(row.held), return_counts=True)
-            sampled, row.held, row.size, row.sampled = row.sampled, [], 0, []
-            codes, found = codes[found > 1].view(np.int64), found[found > 1].astype(np.int64)
+            held, sampled = np.concatenate(row.held), row.sampled
+            row.held, row.size, row.sampled = [], 0, []
+            held.sort()
+            starts = _starts([held])
+            found = np.diff(starts, append=len(held))
+            codes, found = held[starts[found > 1]].view(np.int64), found[found > 1]
+            del held, starts
+            release()
             for at in range(0, len(codes), 1 << 16):
                 c = codes[at:at + (1 << 16)]
                 empty = [pa.nulls(len(c), t) for t in out.types[:4]]

@@ -103,6 +103,19 @@ def test_a_shingle_counted_once_at_a_time_is_told(spark, documents, monkeypatch)
     assert set(told) == both and len(both) == 16 and all(100 <= n <= 300 for n in told.values())
 
 
+def test_a_large_batch_is_counted_slice_by_slice(monkeypatch):
+    class Frame:
+        def mapInArrow(self, run, _):
+            return run
+
+    monkeypatch.setattr(J, "CODES_HELD", 1)
+    texts = [f"a b c d e own{i}" for i in range(1100)]  # two shingles each, the first one shared
+    batch = J.pa.RecordBatch.from_pydict({"doc_id": J.pa.array(range(1100), J.pa.int64()), "text": texts})
+    out = [r for b in J._surveyed(Frame())([batch]) for r in b.to_pylist() if r["found"] is not None]
+    shared = J.shingle_set("a b c d e", J.WordHash()).view(np.int64)[0]
+    assert [(r["code"], r["found"]) for r in out] == [(shared, 512), (shared, 512), (shared, 76)]
+
+
 def test_sampled_sets_change_no_link(documents, monkeypatch):
     rows = corpus(6)
     monkeypatch.setattr(J, "SAMPLED", 1)
