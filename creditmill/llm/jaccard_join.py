@@ -10,9 +10,9 @@ n - ceil(0.75 n) + 1 of each (two, when one more is taken). From this:
   enough to the boundary to match a large one are on the lists too, so no pair is lost.
 
 Components need not compare all pairs of a list, which would be the square of a group of copies. Equal sets are one class.
-On each list all classes meet three leaders; what verification links is joined into components; then each class meets the
-nearest class of another component on each of its lists; last, all pairs on a list that lie in different components still
-are compared. Pairs inside one component can't change it and are never formed. Pairs are dropped before verification only
+On each list all classes meet three leaders, by which a list of up to four is done; what verification links is joined into
+components; then, on longer lists, each class meets the nearest class of another component; last, all pairs on such a list
+that lie in different components still are compared. Pairs inside one component can't change it and are never formed. Pairs are dropped before verification only
 where sizes, or the parity bits of a hashed bitmap, prove that the sets differ in too many shingles. Shingles are 64-bit
 hashes; verification intersects the whole sets.
 """
@@ -36,6 +36,7 @@ FREQUENT = 8  # counted documents from which a shingle comes last in the order
 SAMPLED = 64  # one set in so many tells all its shingles, so that one which occurs once a task is known as frequent too
 SAMPLE_FREQUENT = 4  # sampled sets from which a shingle counts as frequent, with SAMPLED documents each
 FREQUENT_LIST = 1 << 20  # frequent shingles told to all tasks (16 MB); any others only cost time
+LEADERS = 3  # classes of a list that all others meet; of one more class than that, so all pairs are met
 PART = 1024  # classes of a list that are worked on together; longer lists are cut
 PAIR_COST = 32  # comparing a pair costs about as much as so many shuffled rows
 BOUNDARIES = (0, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
@@ -122,7 +123,7 @@ def _per_document(make: Callable, out: pa.Schema, flush: Callable | None = None)
                     yield from flush(row, False)
         if flush:
             yield from flush(row, True)
-        del row
+        batch = part = rows = row = None
         release()
 
     return run
@@ -161,9 +162,9 @@ def _surveyed(docs: DataFrame) -> DataFrame:
             held, sampled = np.concatenate(row.held), row.sampled
             row.held, row.size, row.sampled = [], 0, []
             held.sort()
+            held = held[_repeated(held)]  # few: what comes next takes little memory
             starts = _starts([held])
-            found = np.diff(starts, append=len(held))
-            codes, found = held[starts[found > 1]].view(np.int64), found[found > 1]
+            codes, found = held[starts].view(np.int64), np.diff(starts, append=len(held))
             del held, starts
             release()
             for at in range(0, len(codes), 1 << 16):
@@ -264,15 +265,24 @@ def _groups(batches: Iterable[pa.RecordBatch], by: int) -> Iterator[list[np.ndar
 
 def _starts(cols: list[np.ndarray]) -> np.ndarray:
     new = np.zeros(len(cols[0]), bool)
-    new[0] = True
+    new[:1] = True
     for c in cols:
         new[1:] |= c[1:] != c[:-1]
     return np.flatnonzero(new)
 
 
+def _repeated(codes: np.ndarray) -> np.ndarray:
+    """Which of some sorted codes occur more than once."""
+    out = np.zeros(len(codes), bool)
+    np.equal(codes[1:], codes[:-1], out=out[1:])
+    out[:-1] |= out[1:]
+    return out
+
+
 def _shared(percent: int) -> Callable:
     """Keep the lists' classes that may be linked with another one there; columns key, part, cls, parts, n, before, sorted by
-    the first three.
+    the first three. Added are whether the pairs with `leads` are all of the list, and `leads`: the leaders that the class may
+    be linked with and that come before it. Leaders are the first of the list, as class numbers are random.
 
     A linked pair need only be found under the first key it shares, where what comes before is in one set alone: too much
     before it, or too unlike sizes, and the two are no pair of this list.
@@ -299,7 +309,23 @@ def _shared(percent: int) -> Callable:
                         met[np.arange(len(met)), np.arange(at - s, at - s + len(met))] = False
                         keep[a] = met.any(axis=1)
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols[:5]], ["key", "part", "cls", "parts", "n"])
+                cols = [c[keep] for c in cols]
+                starts = _starts(cols[:2])
+                size = np.diff(starts, append=len(cols[0]))
+                start, size = np.repeat(starts, size), np.repeat(size, size)
+                done = (size <= LEADERS + 1) & (cols[3] == 1)
+                n, before, place = cols[4], cols[5], np.arange(len(start)) - start
+                met = np.zeros((len(start), LEADERS), bool)
+                for k in range(LEADERS):
+                    lead = np.minimum(start + k, len(start) - 1)
+                    alike = np.minimum(n, n[lead]) * 100 >= np.maximum(n, n[lead]) * percent
+                    met[:, k] = (place > k) & np.where(done, possible(n, n[lead], before, before[lead]), alike)
+                leads = cols[2][(start[:, None] + np.arange(LEADERS))[met]]
+                ends = np.concatenate([[0], np.cumsum(met.sum(axis=1))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols[:5]), pa.array(done), pa.ListArray.from_arrays(ends, leads)],
+                                                 ["key", "part", "cls", "parts", "n", "done", "leads"])
+        cols = None
+        release()
 
     return run
 
@@ -412,7 +438,7 @@ class Join:
                 .groupBy("code").agg(F.max("n").alias("n")))
 
     def lists(self) -> DataFrame:
-        """Lists with several classes: key, part, cls, parts, n."""
+        """Lists with several classes: key, part, cls, parts, n, done, leads."""
         counts = self.codes.groupBy("code").agg(F.sum("found").alias("n"))
         often = self.often(counts).orderBy(F.desc("n"), "code").limit(FREQUENT_LIST).toPandas()
         listed = often["code"].to_numpy(np.int64).view(np.uint64)
@@ -426,16 +452,12 @@ class Join:
                    .select(F.col("e.keys").alias("key"), F.pmod(F.col("cls"), F.col("e.parts")).cast("int").alias("part"), "cls",
                            F.col("e.parts").alias("parts"), "n", F.col("e.before").alias("before")))
         return settle(entries.repartition(shuffle_width(self.spark), "key", "part").sortWithinPartitions("key", "part", "cls")
-                      .mapInArrow(_shared(self.percent), "key bigint, part int, cls bigint, parts int, n int"))
+                      .mapInArrow(_shared(self.percent), "key bigint, part int, cls bigint, parts int, n int, done boolean, leads array<bigint>"))
 
     def leaders(self, lists: DataFrame) -> DataFrame:
-        """Pairs of each class with three leaders of each list (part), chosen by hash."""
-        picks = [F.min(F.struct(F.xxhash64("cls", F.lit(k)).alias("h"), F.col("cls").alias("lead"), F.col("n").alias("m")))
-                 .alias(f"l{k}") for k in range(3)]
-        met = (lists.join(lists.groupBy("key", "part").agg(*picks), ["key", "part"])
-               .select("cls", "n", F.explode(F.array("l0", "l1", "l2")).alias("l"))
-               .filter((F.col("cls") != F.col("l.lead")) & _similar_size(F.col("n"), F.col("l.m"), self.percent)))
-        pairs = settle(met.select(F.least("cls", "l.lead").alias("a"), F.greatest("cls", "l.lead").alias("b")).distinct())
+        """Pairs of each class with the leaders of its lists (parts)."""
+        met = lists.select("cls", F.explode("leads").alias("lead"))
+        pairs = settle(met.select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct())
         a, b = (self.classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
         both = self._attach(pairs, {"a": a, "b": b}).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
         return both.mapInArrow(_possible(self.percent), "a bigint, b bigint")
@@ -452,8 +474,8 @@ class Join:
         return out
 
     def across(self, lists: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:
-        """Candidate pairs between components that meet on a list."""
-        told = (lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+        """Candidate pairs between components that meet on a list of which not all pairs were met."""
+        told = (lists.filter("not done").drop("done", "leads").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
                 .withColumn("label", F.coalesce("component", "cls")).drop("component"))
         mixed = told.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
         rows = settle(told.join(mixed, "key")).join(self.classes.select("cls", "bits"), "cls")

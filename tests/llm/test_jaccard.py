@@ -86,6 +86,18 @@ def test_many_distinct_copies_stay_linear(documents):
     assert {r.component_id for r in got} == {0}
 
 
+@pytest.mark.parametrize("n, across", [(4, 0), (5, 10)])
+def test_short_lists_are_done_by_their_leaders(spark, documents, monkeypatch, n, across):
+    """Up to four classes all pairs meet among the leaders; only longer lists are gone through again."""
+    monkeypatch.setattr(J, "choose_boundary", lambda *a: 0)
+    words = " ".join(f"v{i}" for i in range(60))
+    join = J.Join(documents([(i, f"{words} own{i}") for i in range(n)], 2), "text", "doc_id", J.PERCENT)
+    lists = join.lists()
+    apart = spark.createDataFrame([], "node bigint, component bigint")
+    assert join.leaders(lists).count() >= (6 if n == 4 else 9)
+    assert join.across(lists, apart, nearest=False).count() == across
+
+
 def test_a_shingle_counted_once_at_a_time_is_told(spark, documents, monkeypatch):
     """Every document is counted by itself, so no shingle is found twice: the sampled sets tell the shared ones."""
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
