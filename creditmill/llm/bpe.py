@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from creditmill.llm.common import per_worker, rows_to_arrow
 
 WORDS_HELD = 600_000  # encoded words, and as many chunks, that an encoder remembers (up to some 150 MB each)
-TASK_WORDS_HELD = 300_000  # where they are let go with the task
+TASK_WORDS_HELD = 150_000  # where they are let go with the task
 PAIRS_HELD = 400_000  # tested token pairs that it remembers (some 40 MB)
 END = 0x400  # added to the character of a word's last byte
 INF = 1 << 60

@@ -372,6 +372,7 @@ def _across(nearest: bool, percent: int) -> Callable:
             if left:
                 pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+        release()
 
     return run
 
@@ -384,6 +385,7 @@ def _possible(percent: int) -> Callable:
             apart = bits_apart(np.arange(k), np.arange(k, 2 * k), batch.column(4).to_pylist() + batch.column(5).to_pylist())
             keep = may_link(apart, batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy(), percent)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+        release()
 
     return run
 
@@ -398,6 +400,7 @@ def _linked(percent: int) -> Callable:
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     return run
 

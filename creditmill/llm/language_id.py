@@ -182,6 +182,7 @@ def in_known_language(docs: DataFrame, profiles: dict[str, np.ndarray], min_scor
             for batch in small_slices(whole, where):  # what a task holds stays small when texts are long
                 told = [ranker.predict(v) for v in batch.column(where).to_pylist()]
                 yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in told], pa.bool_()))
+        whole = batch = told = ranker = None  # else they would be held still
         release()
 
     return docs.mapInArrow(run, schema)
