@@ -35,6 +35,21 @@ def test_tuning_searches_the_full_ranges(spark, sf_dir, monkeypatch):
     assert asked == [models.TUNE_RANGES]
 
 
+def test_tuning_draws_as_often_as_by_default(spark, sf_dir, monkeypatch):
+    import inspect
+
+    class Stop(Exception):
+        pass
+
+    def look(n_trials, *_):
+        raise Stop(n_trials)
+
+    monkeypatch.setattr(models, "draw_params", look)
+    with pytest.raises(Stop) as told:
+        learned.QUERIES["tune_gbt"](spark, sf_dir)
+    assert told.value.args[0] == inspect.signature(models.tune_gbt).parameters["n_trials"].default == 50
+
+
 def test_mutual_information_of_every_model_feature(spark, sf_dir):
     names = [r["feature"] for r in learned.QUERIES["mutual_information_of_model"](spark, sf_dir).collect()]
     assert sorted(names) == sorted(S.MODEL_FEATURES)
