@@ -136,6 +136,22 @@ def test_attach_beyond_the_broadcast_bound(spark, data):
     assert sorted(small.collect()) == sorted(large.collect()) and large.count() == N
 
 
+def test_attach_shuffles_a_large_table_and_cuts_only_hot_keys(spark, monkeypatch):
+    """A table beyond the bound is not broadcast however small the planner thinks it is, and its rows are not copied."""
+    table = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    left = spark.range(2000).select(F.col("id").alias("loan_id"), F.when(F.col("id") % 5 == 0, 7).when(F.col("id") % 5 == 1, None)
+                                    .otherwise(F.col("id") % 400).cast("long").alias("k"))
+    plain = sorted(lookup.attach(left, table, "k").select("loan_id", "k", "v").collect(), key=str)
+    def told():
+        found = lookup.attach(left, table, "k", max_rows=10)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(found.select("loan_id", "k", "v").collect(), key=str) == plain and "SortMergeJoin" in plan
+        return plan
+    assert "Broadcast" not in (plan := told()) and "Generate" not in plan
+    monkeypatch.setattr(lookup, "HOT_ROWS", 50)  # 7 and NULL
+    assert "Generate" in told()
+
+
 def test_hash_cuts_of_several_sizes(spark):
     rows = spark.range(5000).select("id", F.when(F.col("id") % 7 == 0, 1).when(F.col("id") % 1000 == 3, F.lit(None)).otherwise(0).alias("g"))
     wanted = {0: [0, 1, 17, 2000, 10**6], 1: [300, 714, 715]}
