@@ -232,6 +232,19 @@ def test_neighbors_over_many_blocks_equal_brute_force(spark, monkeypatch):
     assert {i: sorted(v) for i, v in found.items()} == brute({i: v for i, v in pts.items() if i % 2 == 0}, pts, 5)
 
 
+def test_nearest_stores_a_vector_once_for_all_its_visits(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "BLOCK", 4)
+    monkeypatch.setattr(neighbors, "SPAN", 1)
+    stored = []
+    monkeypatch.setattr(neighbors, "settle", lambda df, keep=neighbors.settle: (stored.append(found := keep(df)), found)[1])
+    x = np.random.default_rng(6).normal(0, 1, (60, 12))
+    points = spark.createDataFrame([("all", v.tolist(), i) for i, v in enumerate(x)], "space string, v array<double>, id long")
+    near = neighbors.nearest(points, points, 3).collect()
+    assert {tuple(r["v"]): [n["donor"] for n in r["near"]] for r in near} == {
+        tuple(v): np.round(((x - v) ** 2).sum(axis=1) ** 0.5, 9).argsort(kind="stable")[:3].tolist() for v in x}
+    assert len(stored) >= 4 and max(df.count() for df in stored) <= 60  # before: a row per block
+
+
 def test_nearest_compares_few_pairs_exactly():
     """Products leave little more than the k nearest to be computed from differences; a far cell is skipped."""
     rng = np.random.default_rng(4)
